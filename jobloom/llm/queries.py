@@ -17,6 +17,13 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return redelivered(table(spark, d, "sources"), table(spark, d, "greenhouse_jobs"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.canonical import TITLE_FIELDS, all_titles, map_values
+
+    titles = all_titles({t: table(spark, d, t) for t, _ in TITLE_FIELDS})
+    return map_values(titles, "row_id", "title", table(spark, d, "role_catalog"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from jobloom.llm.encoding import encode_texts
 
@@ -24,7 +31,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found, "p8_ids": p8_ids}
+    return {"p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids}
 
 
 def oracle_sql() -> dict[str, str]:
