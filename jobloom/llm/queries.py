@@ -30,8 +30,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_texts(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.leaks import leaked_items
+
+    return leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids}
+    return {"p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
 
 
 def oracle_sql() -> dict[str, str]:
