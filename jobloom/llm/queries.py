@@ -36,8 +36,20 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaked_items(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.quality import not_prose
+
+    return not_prose(table(spark, d, "documents"))
+
+
+def p10_stats(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.quality import text_statistics
+
+    return text_statistics(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
+    return {"p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
 
 
 def oracle_sql() -> dict[str, str]:
