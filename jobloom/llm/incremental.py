@@ -177,6 +177,7 @@ def link_batches(rows: DataFrame, spark: SparkSession, batch: str, single_batche
     ``single_batches`` batches are taken in as the accepted history, the others one
     by one as new batches. Rows without a batch come with the last.
     """
+    rows = write_cut(rows, "records")  # keys cost more to make than to read again
     top = rows.agg(F.max(batch)).first()[0]
     if top is None:
         rows, top = rows.withColumn(batch, F.lit(0)), 0
