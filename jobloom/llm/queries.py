@@ -11,6 +11,13 @@ from jobloom.sources.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.names import same_organisation
+
+    columns = (("sources", "company"), ("boards_final", "company_name"), ("crm_companies", "Company"))
+    return same_organisation([(table(spark, d, t), c) for t, c in columns])
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     from jobloom.llm.incremental import redelivered
 
@@ -49,7 +56,7 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
 
 
 def oracle_sql() -> dict[str, str]:
