@@ -24,6 +24,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return redelivered(table(spark, d, "sources"), table(spark, d, "greenhouse_jobs"))
 
 
+def p5_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of p5_found with the confidence of each."""
+    from jobloom.llm.openings import posting_rows, same_openings
+
+    rows = posting_rows(table(spark, d, "sources"), table(spark, d, "greenhouse_jobs"), table(spark, d, "ashby_jobs"))
+    return same_openings(rows, table(spark, d, "role_catalog"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_pairs(spark, d).select("row_id_a", "row_id_b")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from jobloom.llm.canonical import TITLE_FIELDS, all_titles, map_values
 
@@ -56,7 +68,7 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
 
 
 def oracle_sql() -> dict[str, str]:
