@@ -11,6 +11,24 @@ from jobloom.sources.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _descriptions(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.private import descriptions
+
+    return descriptions(*(table(spark, d, t) for t in ("sources", "lever_postings", "ashby_jobs")))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.private import found_values
+
+    return found_values(_descriptions(spark, d)).select("row_id", "kind", "start_pos")
+
+
+def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.llm.private import redacted
+
+    return redacted(_descriptions(spark, d))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     from jobloom.llm.names import same_organisation
 
@@ -68,7 +86,7 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
+    return {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
 
 
 def oracle_sql() -> dict[str, str]:
