@@ -90,4 +90,17 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from jobloom.llm.quality import COMMON
+
+    common = ", ".join(f"'{w}'" for w in sorted(COMMON))
+    share = "round(CASE WHEN {1} > 0 THEN {0} / {1} ELSE 0.0 END, 4)".format
+    stats = (
+        "SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, "
+        + share("list_sum(list_transform(w, lambda x: length(x)))", "len(w)") + " AS mean_word_length, "
+        + share("length(regexp_replace(t, '[\\p{L}\\p{N}\\s\\p{Z}]', '', 'g'))", "length(t)") + " AS symbol_ratio, "
+        + share("len(list_filter(l, lambda x: regexp_matches(x, '[.!?:;]\\s*$')))", "len(l)") + " AS ended_lines, "
+        + share(f"len(list_filter(w, lambda x: x IN ({common})))", "len(w)") + " AS common_words "
+        "FROM (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w, "
+        "list_filter(regexp_split_to_array(coalesce(text, ''), '\\r?\\n'), lambda x: length(trim(x)) > 0) AS l FROM documents)"
+    )
+    return {"p10_stats": stats}
