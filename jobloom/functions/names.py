@@ -85,7 +85,8 @@ def html_to_text(html: Column, skip_scripts: bool = True) -> Column:
     if skip_scripts:
         t = F.regexp_replace(t, r"(?is)<(script|style|noscript|svg)\b.*?</\1\s*>", " ")
     t = F.regexp_replace(t, r"(?s)<[^>]*>", "\n")
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[ \t\r]+", " "), r" ?\n[ \n]*", "\n"))
+    lines = F.regexp_replace(F.regexp_replace(t, r"[ \t\r]+", " "), r" ?\n[ \n]*", "\n")
+    return F.regexp_replace(lines, r"^[ \n]+|[ \n]+$", "")
 
 
 def json_ld_blocks(html: Column) -> Column:
