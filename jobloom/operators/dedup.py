@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.operators.components import min_labels
+from jobloom.plans.shared import write_cut
 
 
 def identity_ladder(job_id: Column, url: Column, parts: list[Column]) -> tuple[Column, Column]:
@@ -88,6 +89,7 @@ def sequential_merge(df: DataFrame) -> DataFrame:
     shared keys connects never meet; one task folds one such component, which
     holds the deliveries of one posting.
     """
+    df = write_cut(df.select("title", "ord", "row_id", "keys", "strength", "source"), "rows")  # read three times below
     keyed = df.select("row_id", F.explode("keys").alias("key"))
     first = keyed.groupBy("key").agg(F.min("row_id").alias("first"))
     labels = min_labels(keyed.join(first, "key").select(F.col("row_id").alias("a"), F.col("first").alias("b")))

@@ -429,9 +429,9 @@ def q_sequential_merge(spark: SparkSession, d: str) -> DataFrame:
     src = table(spark, d, "sources")
     title = names.ascii_words(F.col("position"))
     domain = urls.company_domain(F.col("url"))
-    key = lambda kind, c: F.when(c != "", F.concat(F.lit(f"{kind}:"), c, F.lit("|"), F.col("title")))
     rows = src.withColumn("title", title).filter("title <> ''")
-    keys = F.array_compact(F.array(key("name", names.normalize_text(F.col("company"))), key("domain", F.when(domain != "remoteroles.example", domain)), key("id", posting_id(F.col("id")))))
+    named = lambda kind, c: F.transform(F.filter(F.array(c), lambda x: x.isNotNull() & (x != "")), lambda x: F.concat(F.lit(f"{kind}:"), x, F.lit("|"), F.col("title")))
+    keys = F.concat(named("name", names.normalize_text(F.col("company"))), named("domain", F.when(domain != "remoteroles.example", domain)), named("id", posting_id(F.col("id"))))
     strength = F.when(F.col("url").isNotNull(), 2).otherwise(0) + F.when(F.length(F.coalesce("description", F.lit(""))) > 300, 1).otherwise(0)
     merged = dedup.sequential_merge(rows.select("title", F.col("row_id").alias("ord"), "row_id", keys.alias("keys"), strength.alias("strength"), F.coalesce("company", F.lit("")).alias("source")))
     return merged.select("winner", F.size("members").alias("n_members"), F.size("sources").alias("n_sources"))
