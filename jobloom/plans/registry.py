@@ -74,7 +74,6 @@ _ID = (
     "nullif(regexp_replace(regexp_replace(regexp_replace(lower(trim({0})), '\\.0+$', ''), '^(#|[a-z]{{2,5}}[-_:])\\s*([0-9]+)$', '\\2'), '^0+([0-9])', '\\1'), '')"
 )
 _HOST = "nullif(lower(regexp_extract(regexp_replace(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '^(?:[^/?#@]*@)?([A-Za-z0-9._-]+)', 1)), '')"
-_DOMAIN = "array_to_string(list_slice(string_split(" + _HOST + ", '.'), -2, -1), '.')"
 
 
 
