@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 KINDS = ("prose", "list", "table", "junk")
 #: Documents the trees are trained on, at most; chosen by a hash of their id.
 TRAINING_DOCUMENTS = 3_000
+#: Characters a document of the training sample has at most, so that the sample's size is bounded.
+TRAINING_LENGTH = 20_000
 
 # Common words of English, German, French and Spanish.
 COMMON = frozenset(
@@ -392,7 +394,8 @@ def document_kinds(documents: DataFrame) -> DataFrame:
     classified, whole, in one narrow stage.
     """
     full = documents.select("doc_id", "text").filter(F.col("text").rlike(r"[^\s\p{Z}]"))
-    sample = [r["text"] for r in full.orderBy(F.xxhash64("doc_id")).limit(TRAINING_DOCUMENTS).select(F.substring("text", 1, 20_000).alias("text")).collect()]
+    short = full.filter(F.length("text") <= TRAINING_LENGTH)
+    sample = [r["text"] for r in short.orderBy(F.xxhash64("doc_id")).limit(TRAINING_DOCUMENTS).select("text").collect()]
     model = train(sample)
     key_type = documents.schema["doc_id"].dataType.simpleString()
 
