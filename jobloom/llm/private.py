@@ -132,6 +132,10 @@ _NEEDS = (
 )
 
 
+#: Three, two and four digits are a social security number; no phone number is grouped so.
+_SOCIAL = re.compile(r"\d{3}([ -])\d{2}\1\d{4}")
+
+
 def values(text: str, stretches: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the values a text's labels spell; what cannot be a value of its kind is dropped."""
     spans = [m.span() for m in TOKEN.finditer(text)]
@@ -149,6 +153,8 @@ def values(text: str, stretches: list[tuple[int, np.ndarray]]) -> list[tuple[int
             if kind == 1:  # a leading plus sign or bracket belongs to a phone number
                 while start and text[start - 1] in "+(":
                     start -= 1
+            if kind == 1 and _SOCIAL.fullmatch(text[start:end]):
+                kind = 2
             if _NEEDS[kind].search(text[start:end]):
                 out.append((start, end, int(kind)))
             i = j

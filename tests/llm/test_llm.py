@@ -70,6 +70,11 @@ def test_pruned_decoding_is_full_decoding(field):
         assert (full == part).all()
 
 
+def test_social_security_numbers_are_no_phones(field):
+    text = "(social security number 935 63 5646 on file)"
+    assert [(a, private.table.KINDS[k]) for a, _, k in private.values(text, crf.Tagger(field).tag([text])[0])] == [(24, "id_number")]
+
+
 def test_redaction_keeps_the_rest(spark):
     text = "Working hours are flexible.\nApplications: ann.lindmoor@mail.example\n"
     df = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "x " * 60_000), (1, text)], "row_id bigint, text string").withColumn("kind", F.lit("clash"))
