@@ -69,3 +69,16 @@ def capped_schedule(units: DataFrame, priority: str, order: list[Column], overdu
     overdue = units.filter(F.col(priority) == overdue_priority).orderBy(*order).limit(overdue_cap)
     others = units.filter(F.col(priority) != overdue_priority)
     return overdue.unionByName(others).orderBy(priority, *order).limit(cap)
+
+
+def query_portfolio(roles: DataFrame, role: str, ordinal: str, variants: list[str], windows: list[int], cap: int) -> DataFrame:
+    """The first ``cap`` queries of every window, variant and role, in that nesting order; the lists are parameters."""
+    numbered = lambda xs: F.array(*[F.struct(F.lit(i).alias("i"), F.lit(x).alias("x")) for i, x in enumerate(xs)])
+    each = roles.select(role, ordinal, F.explode(numbered(windows)).alias("w")).select(role, ordinal, "w", F.explode(numbered(variants)).alias("v"))
+    named = each.select(F.col("w.x").alias("window"), F.col("v.x").alias("variant"), role, F.concat_ws(" ", F.col(role), F.nullif(F.col("v.x"), F.lit(""))).alias("query"), "w", "v", ordinal)
+    return named.orderBy("w.i", "v.i", ordinal).limit(cap).select("window", "variant", role, "query")
+
+
+def adaptive_order(metrics: DataFrame, key: str, group: str, score: list[Column]) -> DataFrame:
+    """Keys by their group's turn: each group's keys by score, groups by their best key."""
+    return interleave(metrics, group, score).orderBy("turn", "group_rank").select(key, "turn", "group_rank")

@@ -296,6 +296,30 @@ def q_independent_witnesses(spark: SparkSession, d: str) -> DataFrame:
     return joins.enough_witnesses(rows, "k", "description", "host", 2)
 
 
+_NAME = "trim(regexp_replace(" + _WORDS + ", '( (" + names.LEGAL_FORMS + "))+$', ''))"
+
+
+@query(
+    f"WITH a AS (SELECT DISTINCT {_NAME.format('Company')} AS x FROM crm_companies), b AS (SELECT DISTINCT {_NAME.format('company_name')} AS y FROM boards_final), "
+    "p AS (SELECT x, y, list_distinct(string_split(x, ' ')) AS p, list_distinct(string_split(y, ' ')) AS q FROM a JOIN b ON string_split(x, ' ')[1] = string_split(y, ' ')[1] WHERE x <> '' AND y <> ''), "
+    "s AS (SELECT *, len(list_intersect(p, q)) AS i FROM p) SELECT x, y, x = y OR (length(x) >= 5 AND contains(' ' || y || ' ', ' ' || x || ' ')) OR (length(y) >= 5 AND contains(' ' || x || ' ', ' ' || y || ' ')) OR i = len(p) OR i = len(q) OR i / (len(p) + len(q) - i) >= 0.6 AS compatible FROM s"
+)
+def q_compatible_names(spark: SparkSession, d: str) -> DataFrame:
+    from jobloom.functions.similarity import compatible_without_letters
+
+    head = lambda c: F.split(c, " ")[0]
+    a = table(spark, d, "crm_companies").select(names.company_name(F.col("Company")).alias("x")).filter("x <> ''").distinct().withColumn("w", head("x"))
+    b = table(spark, d, "boards_final").select(names.company_name(F.col("company_name")).alias("y")).filter("y <> ''").distinct().withColumn("w", head("y"))
+    return a.join(b, "w").select("x", "y", compatible_without_letters(F.col("x"), F.col("y")).alias("compatible"))
+
+
+@query(
+    "WITH w(i, w) AS (VALUES (0, 7), (1, 30)), v(i, v) AS (VALUES (0, ''), (1, 'remote')) SELECT w.w AS \"window\", v.v AS variant, canonical_title, CASE WHEN v.v = '' THEN canonical_title ELSE canonical_title || ' ' || v.v END AS query FROM role_catalog, w, v ORDER BY w.i, v.i, role_id LIMIT 100"
+)
+def q_query_portfolio(spark: SparkSession, d: str) -> DataFrame:
+    return ranking.query_portfolio(table(spark, d, "role_catalog"), "canonical_title", "role_id", ["", "remote"], [7, 30], 100)
+
+
 # ---------------------------------------------------------------- ranking
 
 

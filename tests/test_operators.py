@@ -203,3 +203,20 @@ def test_state(spark):
     rows = spark.createDataFrame([("s", 1, "x"), ("s", 3, "y"), ("s", 3, "z"), ("t", 1, "q")], "s string, at int, id string")
     edges = state.cursor(rows.filter("id <> 'z' and s = 's'"), "s", "at", "id")
     assert {r.id for r in state.beyond_cursor(rows, edges, "s", "at", "id").collect()} == {"z", "q"}
+
+
+@pytest.mark.parametrize(
+    "a, b, want",
+    [("Acme Tools Inc.", "ACME TOOLS", True), ("Acme", "Acme Tools Holdings", True), ("North Star Labs", "Star Labs North", True), ("Godefin Tebalen", "Godefinn Tebalen", True), ("Acme", "Acne", False), ("", "Acme", False), (None, None, False)],
+)
+def test_compatible_names(spark, a, b, want):
+    from jobloom.functions.similarity import compatible
+
+    assert spark.createDataFrame([(a, b)], "a string, b string").select(compatible(F.col("a"), F.col("b")).alias("c")).first().c is want
+
+
+@pytest.mark.parametrize("domain, name, want", [("acme.example", "Acme Inc", True), ("northstar.example", "North Star Labs", True), ("getacmetools.example", "Tools Acme", True), ("other.example", "Acme", False), (None, "Acme", False), ("acme.example", None, False)])
+def test_domain_fits_name(spark, domain, name, want):
+    from jobloom.functions.similarity import domain_fits_name
+
+    assert spark.createDataFrame([(domain, name)], "a string, b string").select(domain_fits_name(F.col("a"), F.col("b")).alias("c")).first().c is want
