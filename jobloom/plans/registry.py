@@ -76,9 +76,6 @@ _ID = (
 _HOST = "nullif(lower(regexp_extract(regexp_replace(trim({0}), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '^(?:[^/?#@]*@)?([A-Za-z0-9._-]+)', 1)), '')"
 
 
-
-
-
 def _ntz_us(c: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c).cast("timestamp_ntz"))
 
