@@ -70,25 +70,50 @@ def seeds(item_words: list[tuple[int, list[str]]], frequency: dict[str, int]) ->
     return sorted(out)
 
 
+def places_of(item: list[str]) -> dict[str, list[int]]:
+    out = defaultdict(list)
+    for i, t in enumerate(item):
+        out[t].append(i)
+    return dict(out)
+
+
 def best_alignment(doc: list[str], item: list[str]) -> tuple[float, int]:
     """(score, passage words covered) of the best alignment that lets single words be changed, added or dropped."""
-    places = defaultdict(list)
-    for i, t in enumerate(item):
-        places[t].append(i)
-    cells: dict[tuple[int, int], tuple[float, int]] = {}
+    return aligned(doc, places_of(item))
+
+
+def aligned(doc: list[str], places: dict[str, list[int]]) -> tuple[float, int]:
+    """``best_alignment`` with the places of the item's words. A row holds the chains that end at one document word."""
+    none: dict[int, tuple[float, int]] = {}
+    last, before = none, none
     best = (0.0, 0)
-    for j, t in enumerate(doc):
-        for i in places.get(t, ()):
+    edit = 1.0 - EDIT
+    for t in doc:
+        at = places.get(t)
+        if at is None:
+            last, before = none, last
+            continue
+        row = {}
+        for i in at:
             score, start = 1.0, i
-            for di, dj in ((1, 1), (2, 2), (2, 1), (1, 2)):
-                cell = cells.get((i - di, j - dj))
-                if cell:
-                    s = cell[0] + (1.0 if di == dj == 1 else 1.0 - EDIT)
-                    if s > score:
-                        score, start = s, cell[1]
-            cells[(i, j)] = (score, start)
-            if (score, i - start + 1) > best:
+            if last:
+                chain = last.get(i - 1)  # the next word
+                if chain is not None:
+                    score, start = chain[0] + 1.0, chain[1]
+                chain = last.get(i - 2)  # a word dropped
+                if chain is not None and chain[0] + edit > score:
+                    score, start = chain[0] + edit, chain[1]
+            if before:
+                chain = before.get(i - 2)  # a word changed
+                if chain is not None and chain[0] + edit > score:
+                    score, start = chain[0] + edit, chain[1]
+                chain = before.get(i - 1)  # a word added
+                if chain is not None and chain[0] + edit > score:
+                    score, start = chain[0] + edit, chain[1]
+            row[i] = (score, start)
+            if score >= best[0] and (score, i - start + 1) > best:
                 best = (score, i - start + 1)
+        last, before = row, last
     return best
 
 
@@ -110,13 +135,14 @@ def _found(documents: DataFrame, item_words: list[tuple[int, list[str]]]) -> Dat
     shared = spark.sparkContext.broadcast(dict(item_words))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        item_of = shared.value
+        item_places = {item: places_of(w) for item, w in shared.value.items()}
+        known = {t for p in item_places.values() for t in p}
         for batch in batches:
             out = []
             for doc, w, items in zip(batch["doc_id"], batch["w"], batch["items"], strict=True):
-                w = list(w)
+                w = [t if t in known else "" for t in w]
                 for item in items:
-                    score, span_ = best_alignment(w, item_of[item])
+                    score, span_ = aligned(w, item_places[item])
                     if score >= LEAST and span_ >= WINDOW:
                         out.append((item, doc))
             yield pd.DataFrame(out, columns=["item_id", "doc_id"]).astype({"item_id": np.int64})
