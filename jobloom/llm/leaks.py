@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.functions.text import words
@@ -49,6 +49,16 @@ def passages(items: DataFrame) -> DataFrame:
     return ordered.select("item_id", F.flatten(F.transform("x", lambda p: p["w"])).alias("words"))
 
 
+#: Rows of a list made from a block of items that are still broadcast; longer lists are joined by a shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def _listed(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A list made from a block of test items, marked for broadcast where its length allows."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+
+
 def positional_index(documents: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """``term, doc_id, pos`` of the words of ``documents``; with ``terms``, of those terms only.
 
@@ -120,11 +130,11 @@ def aligned(doc: list[str], places: dict[str, list[int]]) -> tuple[float, int]:
 def _found(documents: DataFrame, item_words: list[tuple[int, list[str]]]) -> DataFrame:
     spark = documents.sparkSession
     vocabulary = sorted({t for _, w in item_words for t in w})
-    terms = spark.createDataFrame([(t,) for t in vocabulary], "term string")
+    terms = _listed(spark, [(t,) for t in vocabulary], "term string")
     index = positional_index(documents, terms)
     # One row per term of the test items, whatever the corpus holds.
     frequency = {r["term"]: r["n"] for r in index.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
-    asked = spark.createDataFrame(seeds(item_words, frequency), "term string, item_id bigint, at int")
+    asked = _listed(spark, seeds(item_words, frequency), "term string, item_id bigint, at int")
     hits = index.join(asked, "term").select("item_id", "doc_id", "at", (F.col("pos") - F.col("at")).alias("offset"))
     span = 2 * DRIFT
     tiles = F.explode(F.array(F.floor(F.col("offset") / span) * 2, F.floor((F.col("offset") + DRIFT) / span) * 2 + 1)).alias("tile")
