@@ -22,7 +22,7 @@ from jobloom.functions.text import words
 from jobloom.plans.shared import write_cut
 
 WINDOW = 12
-RAREST, HITS = 4, 2
+RAREST, HITS = 4, 2  # the query below relies on HITS being 2
 #: Difference of offsets within a window: one for each word that may be lost or added.
 DRIFT = RAREST - HITS
 #: Alignment: a matching word gains 1, an edit between two matches costs EDIT; LEAST is asked for.
@@ -138,9 +138,10 @@ def _found(documents: DataFrame, item_words: list[tuple[int, list[str]]]) -> Dat
     hits = index.join(asked, "term").select("item_id", "doc_id", "at", (F.col("pos") - F.col("at")).alias("offset"))
     span = 2 * DRIFT
     tiles = F.explode(F.array(F.floor(F.col("offset") / span) * 2, F.floor((F.col("offset") + DRIFT) / span) * 2 + 1)).alias("tile")
-    near = hits.select("item_id", "doc_id", "at", tiles).groupBy("item_id", "doc_id", "tile").agg(F.countDistinct("at").alias("n"))
+    # Two different places are a least and a greatest, so one aggregation tells them.
+    near = hits.select("item_id", "doc_id", "at", tiles).groupBy("item_id", "doc_id", "tile").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     # A document has at most as many candidates as there are items in the block.
-    by_doc = near.filter(F.col("n") >= HITS).groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))
+    by_doc = near.filter("first < last").groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))
     key_type = documents.schema["doc_id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(dict(item_words))
 
