@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobloom.functions.names import company_name, word_set
+
 #: Letters of the pieces by which contained names are found.
 PIECE = 5
 
@@ -94,3 +99,72 @@ def enough_witnesses(evidence: DataFrame, unit: str, content: str, host: str, le
     """``unit, hosts`` of units whose evidence comes from ``least`` different hosts with different contents."""
     distinct = evidence.groupBy(unit, F.sha2(F.substring(content, 1, 20_000), 256).alias("print")).agg(F.min(host).alias("host"))
     return distinct.groupBy(unit).agg(F.count_distinct("host").alias("hosts")).filter(F.col("hosts") >= least)
+
+
+def _letters_apart(a: int, b: int, letters: float) -> int:
+    """Letters without a partner that two names of these lengths have at most, if the share ``letters`` of them match."""
+    return int((1 - letters) * (a + b) + 1e-9)
+
+
+def _partner_lengths(n: int, letters: float) -> list[int]:
+    """Lengths of the names that can match one of ``n`` letters."""
+    return [m for m in range(1, int(n * (2 - letters) / letters + 1e-9) + 1) if abs(n - m) <= _letters_apart(n, m, letters)]
+
+
+def _cuts(n: int, parts: int) -> list[tuple[int, int]]:
+    return [(n * i // parts, n * (i + 1) // parts) for i in range(parts)]
+
+
+def _pieces(x: str, letters: float) -> list[str]:
+    """The pieces of a name for every length of the other; of these one stands unchanged in a name that matches."""
+    n = len(x)
+    return [f"{n},{m},{i},{x[a:b]}" for m in _partner_lengths(n, letters) for i, (a, b) in enumerate(_cuts(n, _letters_apart(n, m, letters) + 1))]
+
+
+def _places(y: str, letters: float) -> list[str]:
+    """The pieces that names of every length can have where ``y`` has them, moved as far as unmatched letters allow."""
+    m, out = len(y), set()
+    for n in _partner_lengths(m, letters):
+        apart = _letters_apart(n, m, letters)
+        back, on = (apart + n - m) // 2, (apart + m - n) // 2
+        for i, (a, b) in enumerate(_cuts(n, apart + 1)):
+            out |= {f"{n},{m},{i},{y[s : s + b - a]}" for s in range(max(0, a - back), min(m - (b - a), a + on) + 1)}
+    return sorted(out)
+
+
+def _piece_rows(df: DataFrame, name: str, pieces: Callable[[str, float], list[str]], letters: float) -> DataFrame:
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame([(x, p) for x in batch[name] for p in pieces(x, letters)], columns=[name, "piece"])
+
+    return df.mapInPandas(rows, f"{name} string, piece string")
+
+
+def compatible_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``x, y``: all pairs of names of ``left(x)`` and ``right(y)`` that ``compatible`` holds for, each once.
+
+    Names are brought to ``company_name``; null and empty ones are left out. No
+    pair is missed. By words: all words of one name are in the other, or WORDS of
+    them are shared; so one of the rarest words of either, as many as may be
+    lacking and one more, is a word of the other. By letters: a name cut into one
+    piece more than letters may be apart has a piece that stands unchanged in the
+    other, as far away as those letters can move it.
+    """
+    from jobloom.functions.similarity import LETTERS, WORDS, compatible
+
+    a = left.select(company_name(F.col("x")).alias("x")).filter("x <> ''").distinct()
+    b = right.select(company_name(F.col("y")).alias("y")).filter("y <> ''").distinct()
+    a_words = a.select("x", F.explode(word_set(F.col("x"))).alias("word"))
+    b_words = b.select("y", F.explode(word_set(F.col("y"))).alias("word"))
+    counts = a_words.select("word").unionAll(b_words.select("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+    def rarest(words: DataFrame, name: str) -> DataFrame:
+        ranked = words.join(counts, "word").groupBy(name).agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("r"))
+        asked = F.floor(F.size("r") * F.lit(1 - WORDS) + 1e-9).cast("int") + 1
+        return ranked.select(name, F.explode(F.slice("r", F.lit(1), asked)["word"]).alias("word"))
+
+    by_word = rarest(a_words, "x").join(b_words, "word").select("x", "y").unionAll(a_words.join(rarest(b_words, "y"), "word").select("x", "y"))
+    pieces, places = _piece_rows(a, "x", _pieces, LETTERS), _piece_rows(b, "y", _places, LETTERS)
+    apart = F.floor((F.length("x") + F.length("y")) * F.lit(1 - LETTERS) + 1e-9).cast("int")
+    by_letters = pieces.join(places, "piece").select("x", "y").filter(F.levenshtein("x", "y") <= apart)
+    return by_word.unionAll(by_letters).distinct().filter(compatible(F.col("x"), F.col("y")))

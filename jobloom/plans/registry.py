@@ -310,6 +310,13 @@ def q_compatible_names(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "w").select("x", "y", compatible_without_letters(F.col("x"), F.col("y")).alias("compatible"))
 
 
+@query()
+def q_all_compatible_names(spark: SparkSession, d: str) -> DataFrame:
+    """All compatible pairs, whatever their first words; q_compatible_names and its SQL compare names with one first word by words only."""
+    left = table(spark, d, "crm_companies").select(F.col("Company").alias("x"))
+    return joins.compatible_pairs(left, table(spark, d, "boards_final").select(F.col("company_name").alias("y")))
+
+
 @query(
     "WITH w(i, w) AS (VALUES (0, 7), (1, 30)), v(i, v) AS (VALUES (0, ''), (1, 'remote')) SELECT w.w AS \"window\", v.v AS variant, canonical_title, CASE WHEN v.v = '' THEN canonical_title ELSE canonical_title || ' ' || v.v END AS query FROM role_catalog, w, v ORDER BY w.i, v.i, role_id LIMIT 100"
 )

@@ -220,3 +220,22 @@ def test_domain_fits_name(spark, domain, name, want):
     from jobloom.functions.similarity import domain_fits_name
 
     assert spark.createDataFrame([(domain, name)], "a string, b string").select(domain_fits_name(F.col("a"), F.col("b")).alias("c")).first().c is want
+
+
+def test_all_compatible_names_are_found(spark, small):
+    from jobloom.functions.similarity import compatible
+    from jobloom.plans.registry import core_queries
+
+    left = [r[0] for r in spark.read.parquet(f"{small}/crm_companies.parquet").select("Company").distinct().collect()]
+    right = [r[0] for r in spark.read.parquet(f"{small}/boards_final.parquet").select("company_name").distinct().collect()]
+    # First words that are mistyped, joined or elsewhere.
+    left += ["Bolofol Nuzurar Software", "Godefinn Tebalen", "North Star Labs", "Abcdefghijkl", "a", "", None]
+    right += ["Nuzurar Bolofol Software Inc.", "Godefin Tebalen", "NorthStar Labs", "Abcdeghijkl", "Bbcdefghijkl", "A", " ", None]
+    a, b = spark.createDataFrame([(x,) for x in left], "x string"), spark.createDataFrame([(y,) for y in right], "y string")
+    name = lambda c: names.company_name(F.col(c))
+    want = {tuple(r) for r in a.crossJoin(b).filter(compatible(F.col("x"), F.col("y"))).select(name("x"), name("y")).collect()}
+    rows = [tuple(r) for r in joins.compatible_pairs(a, b).collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert {("bolofol nuzurar software", "nuzurar bolofol software"), ("godefinn tebalen", "godefin tebalen"), ("north star labs", "northstar labs"), ("abcdefghijkl", "bbcdefghijkl")} <= want
+    found = {tuple(r) for r in core_queries()["q_all_compatible_names"](spark, small).collect()}
+    assert {tuple(r)[:2] for r in core_queries()["q_compatible_names"](spark, small).filter("compatible").collect()} <= found <= want
