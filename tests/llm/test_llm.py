@@ -272,6 +272,27 @@ def test_edited_passages_and_shared_sentences(spark):
     assert leaks.leaked_items(df, items.limit(0)).count() == 0 and leaks.leaked_items(df.limit(0), items).count() == 0
 
 
+def test_shortest_runs_with_single_edits(spark):
+    template = "In round {} the {} registry listed {} openings, yet clerk {} struck {} of them because {} had shut its {}."
+    fills = [("459", "Difidok", "448", "Rasimul", "857", "Vomumoy", "sluice"), ("302", "Fesodow", "115", "Kelusar", "640", "Tagobiw", "wicket"), ("771", "Galivoq", "926", "Timoruk", "283", "Dubamaw", "granary")]
+    items = spark.createDataFrame([(i, template.format(*f)) for i, f in enumerate(fills)], "item_id bigint, text string")
+    w = template.format(*fills[0]).split()
+    edited = {
+        "added": [*w[2:8], "extra", *w[8:14]], "changed": [*w[2:6], "seen", *w[7:14]], "dropped": w[2:8] + w[9:14], "two": [*w[2:6], "seen", *w[7:10], "x", *w[11:15]],
+        "thirds": ["x" if k % 3 == 1 else t for k, t in enumerate(w[2:16])], "between": [x for t in w[2:14] for x in (t, "x")], "own word lost": [*w[2:4], "Other", *w[5:14]],
+    }
+    short = {"eleven": [*w[2:8], "extra", *w[8:13]], "adjacent": [*w[2:7], "x", "x", *w[9:14]]}
+    others = {"template": template.format("118", "Nehosiq", "204", "Rubeguw", "391", "Hafazuw", "turnstile").split(), "one own word": template.format("459", "Nehosiq", "204", "Rubeguw", "391", "Hafazuw", "turnstile").split()}
+    docs = {**edited, **short, **others}
+    df = spark.createDataFrame([(n, " ".join(["before", *t, "after"])) for n, t in enumerate(docs.values())], "doc_id bigint, text string")
+    got = {(r.item_id, list(docs)[r.doc_id]) for r in leaks.leaked_items(df, items).collect()}
+    assert got == {(0, name) for name in edited}
+    passages = {r.item_id: list(r.words) for r in leaks.passages(items).collect()}
+    own = leaks.own_words(list(passages.items()))
+    told = {(i, name) for name, t in docs.items() for i, p in passages.items() if leaks.carried([x.lower().strip(".,") for x in t], p, own)}
+    assert told == got
+
+
 # ---------------------------------------------------------------- quality
 
 
