@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.canonical import abbreviates, fold
+from jobloom.llm.canonical import abbreviates, deletes, fold
 from jobloom.operators.components import min_labels
 from jobloom.plans.shared import write_cut
 
@@ -23,6 +23,8 @@ from jobloom.plans.shared import write_cut
 GRAM = 5
 #: Letters of the two words' beginnings that form one n-gram together.
 HEAD = 3
+#: Letters of an abbreviated word at most.
+SHORT = 4
 #: Least cosine of two names' vectors: with slips in both words, or an abbreviation and a slip, little more than one rare n-gram is shared.
 COSINE = 0.08
 #: Least average similarity at which two groups of names are merged.
@@ -120,11 +122,44 @@ def grams(name: str) -> list[str]:
     return sorted(out)
 
 
+def _slips(word: str) -> set[str]:
+    """Shared by two words that are one edit apart."""
+    return deletes(word, 1)
+
+
+def _close_forms(word: str) -> set[str]:
+    """Shared by two words that are equal, one edit apart, or of which the shorter is a beginning of the other."""
+    return _slips(word) | {word[:n] for n in range(2, SHORT + 1) if len(word) > n + 1}
+
+
+def keys(name: str) -> set[str]:
+    """Keys of which two names share at least one if their ``similarity`` is DIRECT or more.
+
+    Among names of as many words a product of DIRECT needs a word that is equal,
+    unless all are one edit or an abbreviation apart, or there is only one.
+    Joined and shortened names meet those of another number of words.
+    """
+    words = name.split(" ")
+    n, joined = len(words), "".join(words)
+    out = {f"j {k}" for k in _slips(joined)}
+    if n == 1:
+        out |= {f"1 {k}" for k in deletes(joined, 2 if len(joined) >= 5 else 1)}
+        out |= {f"1 {k}" for m in range(2, SHORT + 1) if len(joined) > m + 1 for k in _slips(joined[:m])}
+        out |= {f"r {joined[:HEAD]} {k}" for k in _slips(joined[HEAD:])}
+        return out
+    out |= {f"{n} {w}" for w in words}
+    first, second = (_close_forms(w) for w in words[:2])
+    out |= {f"{n} {min(a, b)} {max(a, b)}" for a in first for b in second}
+    if n == 2:
+        out |= {f"r {p[:HEAD]} {k}" for p, q in (words, words[::-1]) for k in _slips(q)}
+    return out
+
+
 def _word_score(a: str, b: str) -> float:
     if a == b:
         return 1.0
     short, long = sorted((a, b), key=len)
-    if len(short) <= 4 and len(long) > len(short) + 1:
+    if len(short) <= SHORT and len(long) > len(short) + 1:
         if len(short) < 2:
             return 0.0
         return 0.75 if long.startswith(short) else 0.5 if edits(short, long[: len(short)], 1) <= 1 and short[0] == long[0] else 0.0
@@ -196,11 +231,12 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def similar_names(names: DataFrame) -> DataFrame:
-    """``a, b``: pairs of different names whose vectors' cosine and whose words are close enough.
+    """``a, b``: all pairs of different names whose words are close enough (``similarity`` of DIRECT).
 
-    A pair meets through the n-grams it shares. N-grams are five letters of coined
-    words, so their lists stay short; n-grams only one name has find nothing and
-    count towards its length only.
+    A pair meets through the n-grams it shares, if its vectors' cosine is large
+    enough, or through ``keys``, which no close pair lacks. N-grams are five
+    letters of coined words, so their lists stay short; n-grams only one name has
+    find nothing and count towards its length only.
     """
     n = names.count()
     postings = write_cut(names.mapInPandas(_gram_rows, "name string, gram string"), "grams")
@@ -212,7 +248,10 @@ def similar_names(names: DataFrame) -> DataFrame:
     dots = left.join(right, "gram").filter("a < b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("w")).alias("dot"))
     pairs = dots.join(norms.select(F.col("name").alias("a"), F.col("norm").alias("na")), "a").join(norms.select(F.col("name").alias("b"), F.col("norm").alias("nb")), "b")
     close = pairs.filter(F.col("dot") >= COSINE * F.col("na") * F.col("nb")).select("a", "b")
-    return close.mapInPandas(_tested, "a string, b string")
+    keyed = write_cut(names.mapInPandas(_key_rows, "name string, key bigint"), "keys")
+    # Keys are numbers: two that fall together only add a pair to be tested.
+    met = keyed.select("key", F.col("name").alias("a")).join(keyed.select("key", F.col("name").alias("b")), "key").filter("a < b").select("a", "b")
+    return close.unionAll(met).distinct().mapInPandas(_tested, "a string, b string")
 
 
 def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -221,6 +260,13 @@ def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["name", "gram"])
 
 
+def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(name, k) for name in batch["name"] for k in sorted(keys(name))]
+        df = pd.DataFrame(rows, columns=["name", "key"])
+        yield df.assign(key=pd.util.hash_array(df["key"].to_numpy(dtype=object), categorize=False).astype("int64"))
+
+
 def _tested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         keep = [similarity(a, b) >= DIRECT for a, b in zip(batch["a"], batch["b"], strict=True)]

@@ -107,6 +107,33 @@ def test_name_join_finds_what_all_pairs_find(spark, small):
     assert names.same_organisation([(spark.createDataFrame([], "c string"), "c")]).count() == 0
 
 
+def test_name_join_misses_no_pair(spark, small):
+    every = {names.parse(r.spelling)[0] for r in names.spellings([(read(spark, small, "sources"), "company")]).collect() if names.parse(r.spelling)}
+    every |= {"kol mmoizo", "kolemon momizo", "rez zisunu", "rezogen zidunu", "gimadu nufoges", "gimaud nuofges", "momizokolemon", "kolmomizo", "zidnuu", "zid", "ab cd ef", "abc cd efg"}
+    got = {tuple(r) for r in names.similar_names(spark.createDataFrame([(n,) for n in sorted(every)], "name string")).collect()}
+    want = {(a, b) for a, b in combinations(sorted(every), 2) if names.similarity(a, b) >= names.DIRECT}
+    assert got == want and {("kol mmoizo", "kolemon momizo"), ("rez zisunu", "rezogen zidunu"), ("gimadu nufoges", "gimaud nuofges")} <= want
+
+
+def test_close_names_share_a_key():
+    rng = random.Random(3)
+
+    def slip(w):
+        at = rng.randrange(len(w))
+        return rng.choice([w[:at] + w[at + 1 :], w[:at] + rng.choice("abk") + w[at:], w[:at] + rng.choice("abk") + w[at + 1 :], w[:at] + w[at : at + 2][::-1] + w[at + 2 :], w[: rng.randrange(2, 5)]]) or w
+
+    met = 0
+    for _ in range(20_000):
+        a = ["".join(rng.choice("abkom") for _ in range(rng.randrange(2, 9))) for _ in range(rng.choice((1, 2, 2, 2, 3)))]
+        b = [slip(slip(w)) if rng.random() < 0.3 else slip(w) if rng.random() < 0.6 else w for w in a]
+        b = rng.choice([sorted(b), sorted(b), ["".join(b)], [b[0][:3] + b[-1]]])
+        x, y = " ".join(sorted(a)), " ".join(b)
+        if x != y and names.similarity(x, y) >= names.DIRECT:
+            met += 1
+            assert names.keys(x) & names.keys(y), (x, y)
+    assert met > 2_000
+
+
 def test_average_linkage():
     assert names.average_linkage(["godefin tebalen", "godeefin tebalen", "nofari kelusa", "god tebalen"])[2] == 2
     assert len(set(names.average_linkage(["godefin tebalen", "godeefin tebalen", "god tebalen"]))) == 1
