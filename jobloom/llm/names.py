@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -155,6 +156,7 @@ def keys(name: str) -> set[str]:
     return out
 
 
+@lru_cache(maxsize=100_000)
 def _word_score(a: str, b: str) -> float:
     if a == b:
         return 1.0
@@ -180,7 +182,10 @@ def similarity(a: str, b: str) -> float:
         )
         return 0.6 if runs else 0.0
     if len(x) == 2:
-        return max(_word_score(x[0], y[0]) * _word_score(x[1], y[1]), _word_score(x[0], y[1]) * _word_score(x[1], y[0]))
+        straight = _word_score(x[0], y[0])
+        straight = straight and straight * _word_score(x[1], y[1])
+        turned = _word_score(x[0], y[1])
+        return max(straight, turned and turned * _word_score(x[1], y[0]))
     score = 1.0
     for p, q in zip(x, y, strict=True):
         score *= _word_score(p, q)
