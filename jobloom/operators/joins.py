@@ -97,7 +97,7 @@ def closed_alias(pairs: dict[str, str]) -> dict[str, str]:
 
 def enough_witnesses(evidence: DataFrame, unit: str, content: str, host: str, least: int) -> DataFrame:
     """``unit, hosts`` of units whose evidence comes from ``least`` different hosts with different contents."""
-    distinct = evidence.groupBy(unit, F.sha2(F.substring(content, 1, 20_000), 256).alias("print")).agg(F.min(host).alias("host"))
+    distinct = evidence.groupBy(unit, F.sha2(F.col(content), 256).alias("print")).agg(F.min(host).alias("host"))
     return distinct.groupBy(unit).agg(F.count_distinct("host").alias("hosts")).filter(F.col("hosts") >= least)
 
 

@@ -239,3 +239,9 @@ def test_all_compatible_names_are_found(spark, small):
     assert {("bolofol nuzurar software", "nuzurar bolofol software"), ("godefinn tebalen", "godefin tebalen"), ("north star labs", "northstar labs"), ("abcdefghijkl", "bbcdefghijkl")} <= want
     found = {tuple(r) for r in core_queries()["q_all_compatible_names"](spark, small).collect()}
     assert {tuple(r)[:2] for r in core_queries()["q_compatible_names"](spark, small).filter("compatible").collect()} <= found <= want
+
+
+def test_witnesses_differ_by_their_whole_text(spark):
+    long = "x" * 20_000
+    rows = spark.createDataFrame([("a", long + "1", "h"), ("a", long + "2", "i"), ("b", long, "h"), ("b", long, "i")], "k string, t string, host string")
+    assert [tuple(r) for r in joins.enough_witnesses(rows, "k", "t", "host", 2).collect()] == [("a", 2)]
