@@ -329,6 +329,15 @@ def test_holdout_and_weak_labels():
     assert np.mean(kinds == [k for _, k in quality.HOLDOUT]) >= 0.9
 
 
+def test_calibration_texts_are_not_trained_on(monkeypatch):
+    seen = {}
+    fit, calibrate = quality.Boosted.fit, quality.Boosted.calibrate
+    monkeypatch.setattr(quality.Boosted, "fit", lambda self, x, y: (seen.update(fit={tuple(r) for r in x}), fit(self, x, y))[1])
+    monkeypatch.setattr(quality.Boosted, "calibrate", lambda self, x, y: (seen.update(held={tuple(r) for r in x}, kinds=set(y)), calibrate(self, x, y))[1])
+    quality.train([])
+    assert seen["fit"] and not seen["fit"] & seen["held"] and seen["kinds"] == set(range(len(quality.KINDS)))
+
+
 def test_kinds_of_documents(spark, small):
     docs = read(spark, small, "documents")
     out = {r.doc_id: r.kind for r in quality.document_kinds(docs).collect()}
