@@ -97,19 +97,21 @@ def abbreviates(short: str, word: str, dotted: bool) -> bool:
 
 @dataclass
 class Dictionary:
-    """A block of reference entries, ready for lookups."""
+    """A block of reference entries, ready for lookups among the words of the whole list."""
 
     entries: list[tuple[int, tuple[str, ...], int]]  # id, words, frequency
     words: dict[str, set[str]] = field(default_factory=lambda: defaultdict(set))
     by_word: dict[str, list[int]] = field(default_factory=lambda: defaultdict(list))
     by_first: dict[str, list[str]] = field(default_factory=lambda: defaultdict(list))
     seen: dict[str, dict[str, float]] = field(default_factory=dict)
+    vocabulary: set[str] = field(default_factory=set)  # words of all blocks
 
     def __post_init__(self) -> None:
         for n, (_, words, _) in enumerate(self.entries):
             for w in set(words):
                 self.by_word[w].append(n)
-        for w in self.by_word:
+        self.vocabulary = self.vocabulary | self.by_word.keys()
+        for w in sorted(self.vocabulary):
             self.by_first[w[:1]].append(w)
             for d in deletes(w, allowed_edits(len(w))):
                 self.words[d].add(w)
@@ -120,7 +122,7 @@ class Dictionary:
         found = self.seen.get(key)
         if found is None:
             found = {}
-            if token in self.by_word:
+            if token in self.vocabulary:
                 found[token] = 0.0
             reach = allowed_edits(len(token))
             for d in deletes(token, reach) if len(token) <= 40 else ():
@@ -153,7 +155,7 @@ class Dictionary:
         start = min(firm, key=lambda t: len(t[1]), default=None) or (tokens[0] if tokens else None)
         if start is None:
             return none
-        for n in {n for w in start[1] for n in self.by_word[w]}:
+        for n in {n for w in start[1] for n in self.by_word.get(w, ())}:
             entry, words, frequency = self.entries[n]
             cost = assign(tokens, list(words))
             if cost is not None:
@@ -219,10 +221,11 @@ def map_values(values: DataFrame, key: str, value: str, catalog: DataFrame) -> D
     names = catalog.select("role_id", F.lower("canonical_title").alias("v"))
     exact = rows.groupBy(F.lower(F.trim("v")).alias("v")).count().join(names, "v").groupBy("role_id").agg(F.sum("count").alias("n"))
     blocks = reference_entries(catalog, exact) or [[]]
+    vocabulary = {w for b in blocks for _, words, _ in b for w in words}
 
     def answers(entries: list):  # noqa: ANN202
         def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            dictionary, memory = Dictionary(entries), {}
+            dictionary, memory = Dictionary(entries, vocabulary=vocabulary), {}
             for batch in batches:
                 out = []
                 for v in batch["v"]:

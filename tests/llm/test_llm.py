@@ -248,6 +248,15 @@ def test_blocks_of_a_long_list_and_unmatched(spark, small, monkeypatch):
     assert {r.role_id for r in canonical.map_values(src, "row_id", "title", catalog.limit(0)).collect()} == {0}
 
 
+def test_blocks_know_the_words_of_the_whole_list(spark, monkeypatch):
+    catalog = spark.createDataFrame([(1, "Data Engineer", ["Pipeline Engineer"]), (2, "Sommelier", None)], "role_id int, canonical_title string, aliases array<string>")
+    titles = spark.createDataFrame([(1, "Data Engineer / Sommelier"), (2, "Data Enginer"), (3, "Sommelier (Lyon)"), (4, "Data Sommelier")], "row_id bigint, title string")
+    whole = sorted(map(tuple, canonical.map_values(titles, "row_id", "title", catalog).collect()))
+    assert whole == [(1, 0), (2, 1), (3, 2), (4, 0)]
+    monkeypatch.setattr(canonical, "ENTRIES_A_BLOCK", 1)
+    assert sorted(map(tuple, canonical.map_values(titles, "row_id", "title", catalog).collect())) == whole
+
+
 # ---------------------------------------------------------------- token ids
 
 
