@@ -8,6 +8,7 @@ and decoded in batches: one step of forward-backward or Viterbi serves all of th
 
 from __future__ import annotations
 
+import base64
 import re
 import unicodedata
 from collections import Counter
@@ -15,7 +16,9 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 
-OFFSETS = (0, -1, 1, -2, 2)
+#: Places, counted from a token, whose features count for its label.
+OFFSETS = (0, -1, 1, -2, 2, -3)
+REACH = 3
 
 TOKEN = re.compile(r"[\w.+-]*\w@\w[\w.-]*\w|\w+(?:[._'’+-]+\w+)*|\n+|[^\w\s]")
 
@@ -32,27 +35,68 @@ def shape(token: str) -> str:
         return "address"
     if not token.isalpha() and re.fullmatch(r"[^\W\d]+(?:[._+-]+\w+)+", token) and re.search(r"[._+]", token):
         return "dotted" if re.fullmatch(r"[a-zA-Z]+(?:\.[a-zA-Z]{2,})+", token) else "user"
-    s = "".join("d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c for c in token[:40])
-    return re.sub(r"x{2,}", "x+", re.sub(r"X{2,}", "X+", s))
+    s = "".join("d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c for c in token)
+    return re.sub(r"d{16,}", "d+", re.sub(r"x{2,}", "x+", re.sub(r"X{2,}", "X+", s)))
 
 
-def features(token: str) -> tuple[list[str], list[str]]:
-    """(features for the token's own place, those for the places around it)."""
+#: Ends a token whose own string is hidden from training.
+HIDDEN = "\0"
+
+
+def hidden(token: str) -> str:
+    return token + HIDDEN
+
+
+def letter_cases(vocabulary: str) -> dict[str, str]:
+    """How a word (its key is in small letters) is mostly written, by a public byte-level vocabulary.
+
+    Tokens that are a whole word are ranked by how usual they are: ``small`` where the
+    word in small letters comes before the capitalised one, else ``proper``.
+    """
+    ranks: dict[str, tuple[int, bool]] = {}
+    with open(vocabulary, "rb") as f:
+        for line in f:
+            token, rank = line.split()
+            try:
+                word = base64.b64decode(token).decode("utf-8")
+            except UnicodeDecodeError:
+                continue
+            if word[:1] == " " and word[1:].isalpha() and (word[1:].islower() or word[1:].istitle()):
+                key = fold(word[1:])
+                if key not in ranks or int(rank) < ranks[key][0]:
+                    ranks[key] = (int(rank), word[1:].islower())
+    return {w: "small" if small else "proper" for w, (_, small) in ranks.items()}
+
+
+def features(token: str, cases: dict[str, str]) -> tuple[list[str], list[str], str]:
+    """(features for the token's own place, those for the places around it, the feature of its string, "" if hidden).
+
+    A string that isn't known counts as unknown, with its form.
+    """
+    shown = token[-1] != HIDDEN
+    token = token if shown else token[:-1]
     if token[0] == "\n":
-        return ["nl"], ["nl"]
+        return ["nl"], ["nl"], ""
     form = "s=" + shape(token)
     if form in ("s=address", "s=dotted", "s=user"):
-        return ["b", form], [form]
+        return ["b", form], [form], ""
     low = fold(token)
-    word = "w=" + re.sub(r"\d", "0", low[:24])
-    own = ["b", word, form]
+    word = "w=" + re.sub(r"\d", "0", low) if shown else ""
+    own = ["b", form]
+    near = [form]
     if token.isalpha():
-        own += ["3<" + low[:3], "3>" + low[-3:], "4>" + low[-4:], "5>" + low[-5:], "n=" + str(min(len(low), 12))]
+        written = "v=" + cases.get(low, "rare") + form[2:4]
+        own.append(written)
+        near.append(written)
+    if token.isalpha() and not shown:
+        own += ["2>" + low[-2:], "n=" + str(min(len(low), 12))]
+    elif token.isalpha():
+        own += ["3<" + low[:3], "2>" + low[-2:], "3>" + low[-3:], "4>" + low[-4:], "5>" + low[-5:], "n=" + str(min(len(low), 12))]
     elif "-" in token and not any(c.isdigit() for c in token):
         own += ["4>" + low[-4:], "5>" + low[-5:], "h4>" + low.split("-")[0][-4:]]
     else:
         own += ["d=" + str(min(sum(c.isdigit() for c in token), 12)), "k=" + "".join(sorted(set(re.sub(r"\w", "", token))))]
-    return own, [word, form]
+    return own, near, word
 
 
 #: A word is a feature of its own only if the labelled texts hold it so many times; affixes so many different words.
@@ -92,11 +136,34 @@ def minimized(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndar
     return x
 
 
+class _Sums:
+    """Sums over the features of each type, and over the types of each feature."""
+
+    def __init__(self, pairs: list[tuple[int, int]], types: int, features: int) -> None:
+        self.types, self.features = types, features
+        array = np.array(pairs)
+        self.by_type = array[np.argsort(array[:, 0], kind="stable")]
+        self.by_feature = array[np.argsort(array[:, 1], kind="stable")]
+        self.type_at, self.type_start = np.unique(self.by_type[:, 0], return_index=True)
+        self.feature_at, self.feature_start = np.unique(self.by_feature[:, 1], return_index=True)
+
+    def rows(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.types, weights.shape[1]), dtype=weights.dtype)
+        out[self.type_at] = np.add.reduceat(weights[self.by_type[:, 1]], self.type_start, axis=0)
+        return out
+
+    def columns(self, by_type: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.features, by_type.shape[1]), dtype=by_type.dtype)
+        out[self.feature_at] = np.add.reduceat(by_type[self.by_feature[:, 0]], self.feature_start, axis=0)
+        return out
+
+
 class Crf:
     """Weights for labels; ``transitions[a, b]`` scores label b after label a."""
 
-    def __init__(self, labels: Sequence[str]) -> None:
+    def __init__(self, labels: Sequence[str], cases: dict[str, str] | None = None) -> None:
         self.labels = list(labels)
+        self.cases = cases or {}
         self.known: dict[str, int] = {}
         k = len(self.labels)
         self.weights = np.zeros((len(OFFSETS), 0, k), dtype=np.float32)
@@ -104,53 +171,53 @@ class Crf:
 
     # -- training
 
-    def fit(self, sequences: list[tuple[list[str], list[int]]], steps: int = 50, ridge: float = 0.02) -> Crf:
+    def fit(self, sequences: list[tuple[list[str], list[int]]], steps: int = 80, ridge: float = 0.5) -> Crf:
         k = len(self.labels)
         types = sorted({t for tokens, _ in sequences for t in tokens})
         number = {t: i + 1 for i, t in enumerate(types)}
         times = Counter(t for tokens, _ in sequences for t in tokens)
-        per_type = [features(t) for t in types]
-        in_types = Counter(f for own, _ in per_type for f in own)
+        per_type = [features(t, self.cases) for t in types]
+        in_types: Counter[str] = Counter()
         in_texts: Counter[str] = Counter()
-        for t, (own, _) in zip(types, per_type, strict=True):
-            for f in own:
+        for t, (own, near, word) in zip(types, per_type, strict=True):
+            every = {*own, *near, "?" + near[0], *([word] if word else [])}
+            in_types.update(every)
+            for f in every:
                 in_texts[f] += times[t]
         usual = [f for f in in_types if in_texts[f] >= WORD_COUNT and (f[:2] == "w=" or in_types[f] >= TYPE_COUNT or len(f) < 4)]
         self.known = {f: i for i, f in enumerate(sorted({*usual, "nl", "s=address", "s=dotted", "s=user"}))}
-        own_pairs = np.array([(i + 1, self.known[f]) for i, (own, _) in enumerate(per_type) for f in own if f in self.known])
-        near_pairs = np.array([(i + 1, self.known[f]) for i, (_, near) in enumerate(per_type) for f in near if f in self.known])
-        n, width = len(sequences), max(len(t) for t, _ in sequences)
-        x = np.zeros((n, width + 4), dtype=np.int64)  # two empty places at both ends
-        y = np.full((n, width), -1)
-        for r, (tokens, labels) in enumerate(sequences):
-            x[r, 2 : 2 + len(tokens)] = [number[t] for t in tokens]
+        own = _Sums([(i + 1, f) for i, t in enumerate(types) for f in self._known(t)[0]], len(types) + 1, len(self.known))
+        near = _Sums([(i + 1, f) for i, t in enumerate(types) for f in self._known(t)[1]], len(types) + 1, len(self.known))
+        # Places are laid out step by step, longest sequence first: those alive at a step are a run.
+        ordered = sorted(sequences, key=lambda s: -len(s[0]))
+        lengths = np.array([len(tokens) for tokens, _ in ordered])
+        live = [int((lengths > t).sum()) for t in range(int(lengths[0]))]
+        x = np.zeros((len(ordered), len(live) + 2 * REACH), dtype=np.int64)  # empty places at both ends
+        y = np.zeros((len(ordered), len(live)), dtype=np.int64)
+        for r, (tokens, labels) in enumerate(ordered):
+            x[r, REACH : REACH + len(tokens)] = [number[t] for t in tokens]
             y[r, : len(labels)] = labels
-        mask = y >= 0
-        gold = np.zeros((n, width, k), dtype=np.float32)
-        gold[mask, y[mask]] = 1
+        ids = [np.concatenate([x[:n, REACH + t + o] for t, n in enumerate(live)]) for o in OFFSETS]
+        gold = np.concatenate([y[:n, t] for t, n in enumerate(live)])
         gold_pairs = np.zeros((k, k))
-        both = mask[:, 1:]
-        np.add.at(gold_pairs, (y[:, :-1][both], y[:, 1:][both]), 1)
-        ids = [x[:, 2 + o : 2 + o + width] for o in OFFSETS]
+        for t, n in enumerate(live[1:], 1):
+            np.add.at(gold_pairs, (y[:n, t - 1], y[:n, t]), 1)
         size = len(OFFSETS) * len(self.known) * k
+        places = np.arange(len(gold))
 
         def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
             """Regularised negative log-likelihood and its gradient."""
-            weights, trans = theta[:size].reshape(len(OFFSETS), len(self.known), k), theta[size:].reshape(k, k)
-            scores = np.zeros((n, width, k), dtype=np.float32)
-            for o in range(len(OFFSETS)):
-                pairs = near_pairs if OFFSETS[o] else own_pairs
-                table = np.zeros((len(types) + 1, k), dtype=np.float32)
-                np.add.at(table, pairs[:, 0], weights[o, pairs[:, 1]].astype(np.float32))
-                scores += table[ids[o]]
-            node, edge, partition = self._expected(scores, trans, mask)
-            value = partition - float((scores * gold).sum()) - float((trans * gold_pairs).sum()) + ridge * float(theta @ theta)
-            diff = (node - gold) * mask[..., None]
-            gradient = np.zeros_like(weights)
-            for o in range(len(OFFSETS)):
-                pairs = near_pairs if OFFSETS[o] else own_pairs
-                by_type = np.stack([np.bincount(ids[o].ravel(), diff[..., j].ravel(), len(types) + 1) for j in range(k)], axis=1)
-                np.add.at(gradient[o], pairs[:, 1], by_type[pairs[:, 0]])
+            weights, trans = theta[:size].reshape(len(OFFSETS), len(self.known), k).astype(np.float32), theta[size:].reshape(k, k)
+            scores = np.zeros((len(gold), k), dtype=np.float32)
+            for o, offset in enumerate(OFFSETS):
+                scores += (near if offset else own).rows(weights[o])[ids[o]]
+            node, edge, partition = self._expected(scores, trans.astype(np.float32), live)
+            value = partition - float(scores[places, gold].sum(dtype=np.float64)) - float((trans * gold_pairs).sum()) + ridge * float(theta @ theta)
+            node[places, gold] -= 1
+            gradient = np.zeros((len(OFFSETS), len(self.known), k))
+            for o, offset in enumerate(OFFSETS):
+                by_type = np.stack([np.bincount(ids[o], node[:, j], len(types) + 1) for j in range(k)], axis=1)
+                gradient[o] = (near if offset else own).columns(by_type)
             return value, np.concatenate([gradient.ravel(), (edge - gold_pairs).ravel()]) + 2 * ridge * theta
 
         theta = minimized(loss, np.zeros(size + k * k), steps)
@@ -159,42 +226,47 @@ class Crf:
         return self
 
     @staticmethod
-    def _expected(scores: np.ndarray, trans: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    def _expected(scores: np.ndarray, trans: np.ndarray, live: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
         """Label and label-pair expectations and the log partition, by scaled forward-backward over all sequences at once."""
-        n, width, k = scores.shape
-        top = scores.max(2, keepdims=True)
-        psi = np.exp(scores - top)
-        a = np.exp(trans).astype(np.float32)
+        top = scores.max(1, keepdims=True)
+        psi, a = np.exp(scores - top), np.exp(trans)
+        starts = np.concatenate([[0], np.cumsum(live)])
         alpha = np.zeros_like(psi)
-        scale = psi[:, 0].sum(1)
-        alpha[:, 0] = psi[:, 0] / scale[:, None]
-        partition = float(np.log(scale).sum() + top[..., 0][mask].sum())
-        for t in range(1, width):
-            step = (alpha[:, t - 1] @ a) * psi[:, t]
-            scale = step.sum(1)
-            partition += float(np.log(scale)[mask[:, t]].sum())
-            alpha[:, t] = np.where(mask[:, t, None], step / scale[:, None], alpha[:, t - 1])
-        beta = np.ones((n, k), dtype=np.float32)
-        node, edge = np.zeros_like(psi), np.zeros((k, k))
-        for t in range(width - 1, -1, -1):
-            p = alpha[:, t] * beta
-            node[:, t] = p / p.sum(1, keepdims=True)
+        partition = float(top.sum(dtype=np.float64))
+        for t, n in enumerate(live):
+            here = slice(starts[t], starts[t] + n)
+            step = psi[here] if t == 0 else (alpha[starts[t - 1] : starts[t - 1] + n] @ a) * psi[here]
+            scale = step.sum(1, keepdims=True)
+            partition += float(np.log(scale).sum(dtype=np.float64))
+            alpha[here] = step / scale
+        beta = np.ones((live[0], len(a)), dtype=np.float32)
+        node, edge = np.empty_like(psi), np.zeros_like(a, dtype=np.float64)
+        for t in range(len(live) - 1, -1, -1):
+            n = live[t]
+            here = slice(starts[t], starts[t] + n)
+            p = alpha[here] * beta[:n]
+            node[here] = p / p.sum(1, keepdims=True)
             if t:
-                live = mask[:, t]
-                inner = psi[live, t] * beta[live]
-                q = alpha[live, t - 1][:, :, None] * a[None] * inner[:, None, :]
-                edge += (q / q.sum((1, 2), keepdims=True)).sum(0)
+                inner = psi[here] * beta[:n]
+                last = alpha[starts[t - 1] : starts[t - 1] + n]
+                z = ((last @ a) * inner).sum(1, keepdims=True)
+                edge += a * ((last / z).T @ inner)
                 back = inner @ a.T
-                beta[live] = back / back.sum(1, keepdims=True)
+                beta[:n] = back / back.sum(1, keepdims=True)
         return node, edge, partition
 
+    def _known(self, token: str) -> tuple[list[int], list[int]]:
+        """Numbers of a token's features at its own place and around it; unknown strings share one feature per form."""
+        own, near, word = features(token, self.cases)
+        string = [] if near[0] in ("nl", "s=address", "s=dotted", "s=user") else [word if word in self.known else "?" + near[0]]
+        known = self.known
+        return [known[f] for f in own + string if f in known], [known[f] for f in near + string if f in known]
+
     # -- decoding
 
     def rows(self, token: str) -> np.ndarray:
         """What a token adds to the scores at its own place and at those around it."""
-        own, near = features(token)
-        own_ids = [self.known[f] for f in own if f in self.known]
-        near_ids = [self.known[f] for f in near if f in self.known]
+        own_ids, near_ids = self._known(token)
         out = np.zeros((len(OFFSETS), len(self.labels)), dtype=np.float32)
         for o, offset in enumerate(OFFSETS):
             ids = near_ids if offset else own_ids
@@ -270,10 +342,10 @@ class Tagger:
         flat: list[int] = []
         starts = []
         for tokens in lists:
-            flat += (0, 0)
+            flat += (0,) * REACH
             starts.append(len(flat))
             flat += self._ids(tokens)
-        flat += (0, 0)
+        flat += (0,) * REACH
         ids = np.array(flat, dtype=np.int64)
         n = len(ids)
         scores = self.table[ids, 0]
