@@ -168,6 +168,11 @@ class Crf:
         k = len(self.labels)
         self.weights = np.zeros((len(OFFSETS), 0, k), dtype=np.float32)
         self.transitions = np.zeros((k, k), dtype=np.float32)
+        #: Labels come as one that begins nothing, then a first and an inner label per kind; an inner one follows its own kind only.
+        self.possible = np.ones((k, k), dtype=bool)
+        for j in range(2, k, 2):
+            self.possible[:, j] = False
+            self.possible[[j - 1, j], j] = True
 
     # -- training
 
@@ -204,10 +209,11 @@ class Crf:
             np.add.at(gold_pairs, (y[:n, t - 1], y[:n, t]), 1)
         size = len(OFFSETS) * len(self.known) * k
         places = np.arange(len(gold))
+        never = np.where(self.possible, 0.0, -60.0)
 
         def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
             """Regularised negative log-likelihood and its gradient."""
-            weights, trans = theta[:size].reshape(len(OFFSETS), len(self.known), k).astype(np.float32), theta[size:].reshape(k, k)
+            weights, trans = theta[:size].reshape(len(OFFSETS), len(self.known), k).astype(np.float32), theta[size:].reshape(k, k) + never
             scores = np.zeros((len(gold), k), dtype=np.float32)
             for o, offset in enumerate(OFFSETS):
                 scores += (near if offset else own).rows(weights[o])[ids[o]]
@@ -222,7 +228,7 @@ class Crf:
 
         theta = minimized(loss, np.zeros(size + k * k), steps)
         self.weights = theta[:size].reshape(len(OFFSETS), len(self.known), k).astype(np.float32)
-        self.transitions = theta[size:].reshape(k, k).astype(np.float32)
+        self.transitions = (theta[size:].reshape(k, k) + never).astype(np.float32)
         return self
 
     @staticmethod
@@ -284,11 +290,22 @@ class Crf:
             scores[r, : lengths[r]] = windows[i]
         best = scores[:, 0].copy()
         back = np.zeros((len(windows), width, k), dtype=np.int8)
+        trans = self.transitions
+        inner = np.arange(2, k, 2)
+        first = np.concatenate([[0], inner - 1])
+        enter, begun, kept = np.ascontiguousarray(trans[:, first].T), trans[inner - 1, inner], trans[inner, inner]
         for t in range(1, width):
             live = int((lengths > t).sum())
-            options = best[:live, :, None] + self.transitions[None]
-            back[:live, t] = options.argmax(1)
-            best[:live] = options.max(1) + scores[:live, t]
+            last = best[:live]
+            new = np.empty_like(last)
+            options = last[:, None, :] + enter[None]
+            from_ = options.argmax(2)
+            back[:live, t, first] = from_
+            new[:, first] = np.take_along_axis(options, from_[:, :, None], 2)[:, :, 0]
+            started, going = last[:, inner - 1] + begun, last[:, inner] + kept
+            back[:live, t, inner] = np.where(going > started, inner, inner - 1)
+            new[:, inner] = np.maximum(going, started)
+            best[:live] = new + scores[:live, t]
         out: list[np.ndarray] = [np.empty(0, dtype=np.int8)] * len(windows)
         at = best.argmax(1)
         path = np.zeros((len(windows), width), dtype=np.int8)
@@ -313,7 +330,9 @@ class Tagger:
 
     def __init__(self, crf: Crf) -> None:
         self.crf = crf
-        self.step = float(max(0.0, (crf.transitions - crf.transitions[0, 0]).max()))
+        over = crf.transitions - crf.transitions[0, 0]
+        #: What the best transition into each label adds, and the best one back to the first label, if that gains.
+        self.entry, self.exit = over.max(0)[1:], float(max(0.0, over[1:, 0].max()))
         self._empty()
 
     def _empty(self) -> None:
@@ -333,8 +352,9 @@ class Tagger:
     def tag(self, texts: Sequence[str | None]) -> list[list[tuple[int, np.ndarray]]]:
         """For each text, (place of the first token, labels) of the stretches that hold a label other than the first.
 
-        A stretch is left out only if no labelling of it can beat the plain one: the
-        first label is best wherever no token gains more than two best transitions.
+        A stretch is left out only if no labelling of it can beat the plain one: a run
+        of other labels gains at most what its tokens gain over the first label, each
+        with the best transition into its label, and the transition back.
         """
         if len(self.number) > self.KEPT:
             self._empty()
@@ -355,7 +375,7 @@ class Tagger:
                 scores[-offset:] += part[:offset]
             else:
                 scores[:-offset] += part[offset:]
-        promising = (scores[:, 1:].max(1) - scores[:, 0] > -2 * self.step) & (ids > 0)
+        promising = ((scores[:, 1:] + self.entry).max(1) - scores[:, 0] > -self.exit) & (ids > 0)
         places = np.flatnonzero(promising)
         out: list[list[tuple[int, np.ndarray]]] = [[] for _ in texts]
         if not len(places):
