@@ -38,10 +38,30 @@ def test_query(spark, small, db, name):
 
 
 def test_entry_runs_without_the_subpackage(spark, monkeypatch):
-    import sys
+    import importlib.util
 
     import __spark_entry__ as entry
 
-    monkeypatch.setitem(sys.modules, "jobloom.llm", None)
+    real = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name == "jobloom.llm" else real(name, *a))
     assert set(entry.queries()) == set(core_queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_shared_folder(spark, monkeypatch, tmp_path):
+    from jobloom.plans import shared
+
+    path = shared.fresh_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    before = list(shared._written)
+    shared._written[:] = before[-1:]
+    shared.release()
+    assert not os.path.exists(path.removeprefix("file://"))
+    shared._written[:] = before[:-1]
+
+    class Cluster:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError):
+        shared.shared_dir(Cluster)
