@@ -1,23 +1,24 @@
 """Spellings that mean the same organisation.
 
 Each different spelling is folded and split into its name and its line of
-business. Names become weighted vectors of character n-grams; pairs are found by
-a join over shared n-grams, kept above a cosine threshold, tested word by word,
-and grouped by average linkage inside the connected components they form.
+business; the lines are learned from the words in that place. Names become weighted
+vectors of character n-grams; each keeps its nearest by a sparse cosine join above
+a threshold, pairs are tested word by word, and grouped by average linkage.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.llm.canonical import abbreviates, deletes, fold
-from jobloom.operators.components import min_labels
 from jobloom.plans.shared import write_cut
 
 #: Letters of an n-gram; words are padded at both ends.
@@ -26,8 +27,8 @@ GRAM = 5
 HEAD = 3
 #: Letters of an abbreviated word at most.
 SHORT = 4
-#: Least cosine of two names' vectors: with slips in both words, or an abbreviation and a slip, little more than one rare n-gram is shared.
-COSINE = 0.08
+#: Least cosine of two names' vectors, and the nearest names each keeps; pairs beyond both are found by keys.
+COSINE, NEAREST = 0.25, 20
 #: Least average similarity at which two groups of names are merged.
 LINKAGE = 0.3
 
@@ -36,11 +37,8 @@ LEGAL = frozenset(
     "inc incorporated llc llp lp corp corporation co company gmbh mbh kg ohg ug se limited ltd plc pvt private sa sas sarl sasu "
     "sl slu srl spa ag ab oy bv nv pty holdings holding group team the and y et und".split()
 )
-# Lines of business.
-BUSINESS = (
-    "aerospace analytics biotech consulting education energy foods health hospitality insurance logistics manufacturing "
-    "media mobility payments retail robotics security software technologies"
-).split()
+#: A word is a line of business if it stands in that place in so many spellings, and in this share of them at least, which bounds their number.
+LINE_COUNT, LINE_SHARE = 3, 0.001
 # Texts that stand where a name should.
 PLACEHOLDERS = frozenset(
     "confidential|n a|na|none|null|nan|unknown|stealth startup|stealth|stealth company|tbd|tba|test|company|company name|employer|client|"
@@ -67,28 +65,57 @@ def edits(a: str, b: str, limit: int) -> int:
     return row[-1]
 
 
-def business_of(token: str, dotted: bool) -> str | None:
-    """The line of business a token names: in full, with a slip of typing, or abbreviated."""
-    if token in BUSINESS:
-        return token
-    if len(token) >= 4:
-        slips = [(d, b) for b in BUSINESS if (d := edits(token, b, 2 if len(b) >= 8 else 1)) <= (2 if len(b) >= 8 else 1)]
-        if slips:
-            return min(slips)[1]
-    short = [(not b.startswith(token), b) for b in BUSINESS if abbreviates(token, b, dotted)]
-    return min(short)[1] if short else None
+class Lines:
+    """The lines of business the data have, for lookups of what people made of them."""
+
+    def __init__(self, words: Iterable[str] = ()) -> None:
+        self.words = frozenset(words)
+        self.by_first: dict[str, list[str]] = defaultdict(list)
+        self.by_delete: dict[str, list[str]] = defaultdict(list)
+        for w in sorted(self.words):
+            self.by_first[w[:1]].append(w)
+            for d in deletes(w, self.reach(w)):
+                self.by_delete[d].append(w)
+        self.known: dict[tuple[str, bool], str | None] = {}
+
+    @staticmethod
+    def reach(word: str) -> int:
+        return 2 if len(word) >= 8 else 1
+
+    def slips(self, token: str, least: int = 4) -> list[tuple[int, str]]:
+        """(edits, line) of the lines a token is a slip of."""
+        near = {w for d in deletes(token, 2) for w in self.by_delete.get(d, ())} if len(token) >= least else ()
+        return [(d, w) for w in near if (d := edits(token, w, self.reach(w))) <= self.reach(w)]
+
+    def of(self, token: str, dotted: bool) -> str | None:
+        """The line of business a token names: in full, with a slip of typing, or abbreviated."""
+        key = (token, dotted)
+        if key not in self.known:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            found = token if token in self.words else None
+            if not found and (slips := self.slips(token)):
+                found = min(slips)[1]
+            if not found:
+                short = [(not w.startswith(token), w) for w in self.by_first.get(token[:1], ()) if abbreviates(token, w, dotted)]
+                found = min(short)[1] if short else None
+            self.known[key] = found
+        return self.known[key]
 
 
 def is_legal(token: str) -> bool:
     return token in LEGAL or len(token) >= 6 and any(edits(token, w, 1) <= 1 for w in LEGAL if len(w) >= 6)
 
 
-def parse(spelling: str) -> tuple[str, str] | None:
-    """(name words in order of the alphabet, line of business or ""); None if it names no organisation."""
+Token = tuple[str, bool, bool, bool]  # word, followed by a dot, ends a first part, stands alone
+
+
+def tokenized(spelling: str) -> list[Token]:
+    """The words of a spelling but for legal forms; empty if it names no organisation."""
     plain = " ".join(re.findall(r"[^\W_]+", fold(spelling)))
     if not plain or plain in PLACEHOLDERS or not re.search(r"[^\W\d_]", plain):
-        return None
-    tokens: list[tuple[str, bool, bool, bool]] = []  # word, followed by a dot, ends a first part, stands alone
+        return []
+    tokens: list[Token] = []
     for raw in re.split(r"[\s/]+|(?<=\w)-(?=\w)", spelling.strip()):
         if raw in ("-", "–", "—", "|"):
             if tokens:
@@ -101,15 +128,26 @@ def parse(spelling: str) -> tuple[str, str] | None:
             word = fold(re.sub(r"[\W_]", "", part))
             if word:
                 tokens.append((word, part.endswith("."), part.endswith((",", ":", ";")), len(parts) == 1))
-    kept = [t for t in tokens if not (t[3] and is_legal(t[0]))] or tokens
+    return [t for t in tokens if not (t[3] and is_legal(t[0]))] or tokens
+
+
+def line_candidate(spelling: str) -> str | None:
+    """The word that stands where a line of business does: first of three before a comma or dash, or last of three."""
+    kept = tokenized(spelling)
+    return None if len(kept) < 3 else kept[0][0] if kept[0][2] else kept[-1][0]
+
+
+def parse(spelling: str, lines: Lines) -> tuple[str, str] | None:
+    """(name words in order of the alphabet, line of business or ""); None if it names no organisation."""
+    kept = tokenized(spelling)
     business = ""
-    if len(kept) >= 2 and kept[0][2] and business_of(*kept[0][:2]):
-        business, kept = business_of(*kept[0][:2]) or "", kept[1:]
+    if len(kept) >= 2 and kept[0][2] and lines.of(*kept[0][:2]):
+        business, kept = lines.of(*kept[0][:2]) or "", kept[1:]
     elif len(kept) >= 3:
         last = kept[-1]
-        business, kept = business_of(*last[:2]) or last[0], kept[:-1]
-    elif len(kept) == 2 and kept[1][3] and any(edits(kept[1][0], b, 1) <= 1 for b in BUSINESS if len(b) >= 6):
-        business, kept = business_of(*kept[1][:2]) or "", kept[:1]
+        business, kept = lines.of(*last[:2]) or last[0], kept[:-1]
+    elif len(kept) == 2 and kept[1][3] and any(d <= 1 and len(w) >= 6 for d, w in lines.slips(kept[1][0], 5)):
+        business, kept = lines.of(*kept[1][:2]) or "", kept[:1]
     return (" ".join(sorted(t[0] for t in kept)), business) if kept else None
 
 
@@ -128,31 +166,36 @@ def _slips(word: str) -> set[str]:
     return deletes(word, 1)
 
 
-def _close_forms(word: str) -> set[str]:
-    """Shared by two words that are equal, one edit apart, or of which the shorter is a beginning of the other."""
-    return _slips(word) | {word[:n] for n in range(2, SHORT + 1) if len(word) > n + 1}
+def _forms(word: str) -> dict[str, tuple[bool, bool]]:
+    """Shared by two words that are equal, one edit apart, or of which the shorter is a beginning of the other: (cut, short) of each."""
+    cut = {word[:n]: (True, False) for n in range(2, SHORT + 1) if len(word) > n + 1}
+    return cut | dict.fromkeys(_slips(word), (False, len(word) <= SHORT))
 
 
-def keys(name: str) -> set[str]:
-    """Keys of which two names share at least one if their ``similarity`` is DIRECT or more.
+def keys(name: str) -> dict[str, bool]:
+    """Keys of which two names share at least one if their ``similarity`` is DIRECT or more, and whether the name asks with the key.
 
-    Among names of as many words a product of DIRECT needs a word that is equal,
-    unless all are one edit or an abbreviation apart, or there is only one.
-    Joined and shortened names meet those of another number of words.
+    Of two names that share a key one asks at least. Among names of as many words a
+    product of DIRECT needs a word that is equal, unless all are one edit or an
+    abbreviation apart, or there is only one. Joined and shortened names meet those
+    of another number of words. A beginning of a word is asked for only by a name
+    that has so short a word itself; those are few, beginnings are shared by many.
     """
     words = name.split(" ")
     n, joined = len(words), "".join(words)
-    out = {f"j {k}" for k in _slips(joined)}
+    out = dict.fromkeys((f"j {k}" for k in _slips(joined)), True)
     if n == 1:
-        out |= {f"1 {k}" for k in deletes(joined, 2 if len(joined) >= 5 else 1)}
-        out |= {f"1 {k}" for m in range(2, SHORT + 1) if len(joined) > m + 1 for k in _slips(joined[:m])}
-        out |= {f"r {joined[:HEAD]} {k}" for k in _slips(joined[HEAD:])}
-        return out
-    out |= {f"{n} {w}" for w in words}
-    first, second = (_close_forms(w) for w in words[:2])
-    out |= {f"{n} {min(a, b)} {max(a, b)}" for a in first for b in second}
+        out |= dict.fromkeys((f"1 {k}" for m in range(2, SHORT + 1) if len(joined) > m + 1 for k in _slips(joined[:m])), False)
+        out |= dict.fromkeys((f"1 {k}" for k in deletes(joined, 2 if len(joined) >= 5 else 1)), True)
+        return out | dict.fromkeys((f"r {joined[:HEAD]} {k}" for k in _slips(joined[HEAD:])), True)
+    out |= dict.fromkeys((f"{n} {w}" for w in words), True)
+    first, second = (_forms(w) for w in words[:2])
+    for a, (cut_a, short_a) in first.items():
+        for b, (cut_b, short_b) in second.items():
+            key = f"{n} {min(a, b)} {max(a, b)}"
+            out[key] = out.get(key, False) or not (cut_a or cut_b) or short_a or short_b
     if n == 2:
-        out |= {f"r {p[:HEAD]} {k}" for p, q in (words, words[::-1]) for k in _slips(q)}
+        out |= dict.fromkeys((f"r {p[:HEAD]} {k}" for p, q in (words, words[::-1]) for k in _slips(q)), False)
     return out
 
 
@@ -196,27 +239,36 @@ def similarity(a: str, b: str) -> float:
 DIRECT = 0.5
 
 
-def average_linkage(names: list[str], cut: float = LINKAGE) -> list[int]:
-    """A group number for each name: the closest two groups are merged while their average similarity is ``cut`` or more."""
-    n = len(names)
-    sim = [[similarity(a, b) if a != b else 1.0 for b in names] for a in names]
-    groups = {i: [i] for i in range(n)}
-    total = {(i, j): sim[i][j] for i in range(n) for j in range(i + 1, n)}
-    while total:
-        (i, j), s = max(total.items(), key=lambda kv: (kv[1] / (len(groups[kv[0][0]]) * len(groups[kv[0][1]])), -kv[0][0], -kv[0][1]))
-        if s / (len(groups[i]) * len(groups[j])) < cut:
+def average_linkage(pairs: DataFrame, cut: float = LINKAGE, max_rounds: int = 60) -> DataFrame:
+    """``name, grp`` for the names of ``pairs(a, b, similarity)``: groups of average linkage, named by their least member.
+
+    Pairs that aren't given count as 0. Two groups that are each other's closest
+    are merged while their average is ``cut`` or more; for average linkage that
+    gives the groups of merging the closest two of all, one after the other. Every
+    round merges many pairs, with equi-joins and aggregations only: no group is
+    gathered anywhere.
+    """
+    sums = write_cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("similarity").alias("s")), "sums")
+    groups = write_cut(sums.select(F.col("a").alias("name")).union(sums.select("b")).distinct().select("name", F.col("name").alias("grp")), "groups")
+    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    for _ in range(max_rounds):
+        of = lambda side: sizes.select(F.col("grp").alias(side), F.col("n").alias(f"n_{side}"))
+        near = sums.join(of("a"), "a").join(of("b"), "b").withColumn("average", F.col("s") / (F.col("n_a") * F.col("n_b"))).filter(F.col("average") >= cut)
+        # Equal averages are told apart by a hash, so that many pairs are each other's closest at once.
+        rank = F.struct("average", F.xxhash64("a", "b").alias("h"), "a", "b").alias("rank")
+        closest = near.select("a", "b", rank).select(F.explode(F.array("a", "b")).alias("grp"), "rank").groupBy("grp").agg(F.max("rank").alias("r"))
+        mutual = closest.groupBy("r.a", "r.b").agg(F.count(F.lit(1)).alias("k")).filter("k = 2").select(F.col("a").alias("to"), F.col("b").alias("from"))
+        moved = write_cut(mutual, "merged")
+        if moved.isEmpty():
             break
-        groups[i] += groups.pop(j)
-        del total[(i, j)]
-        for k in groups:
-            if k != i:
-                a, b = (min(i, k), max(i, k)), (min(j, k), max(j, k))
-                total[a] += total.pop(b)
-    out = [0] * n
-    for g, members in groups.items():
-        for m in members:
-            out[m] = g
-    return out
+        to = lambda side: moved.select(F.col("from").alias(side), F.col("to").alias(f"to_{side}"))
+        new = sums.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("to_a", "a").alias("x"), F.coalesce("to_b", "b").alias("y"), "s").filter("x <> y")
+        sums = write_cut(new.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("s").alias("s")), "sums")
+        groups = write_cut(groups.join(moved.withColumnRenamed("from", "grp"), "grp", "left").select("name", F.coalesce("to", "grp").alias("grp")), "groups")
+        sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        raise RuntimeError(f"linkage did not end in {max_rounds} rounds")
+    return groups
 
 
 def spellings(columns: list[tuple[DataFrame, str]]) -> DataFrame:
@@ -229,34 +281,53 @@ def spellings(columns: list[tuple[DataFrame, str]]) -> DataFrame:
     return every.filter(F.col("spelling").rlike(r"[^\s\p{Z}]")).distinct()
 
 
-def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(s, *p) for s in batch["spelling"] if (p := parse(s))]
-        yield pd.DataFrame(rows, columns=["spelling", "name", "business"])
+        yield pd.DataFrame({"word": [w for s in batch["spelling"] if (w := line_candidate(s))]}, columns=["word"], dtype=object)
+
+
+def lines_of_business(every: DataFrame) -> Lines:
+    """The lines of business of all spellings, learned from the words in that place; at most 1 / LINE_SHARE words."""
+    counted = every.mapInPandas(_candidates, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    least = F.greatest(F.lit(LINE_COUNT), F.ceil(F.sum("n").over(Window.partitionBy()) * LINE_SHARE))
+    frequent = counted.filter(F.length("word") >= 4).filter(f"n >= {LINE_COUNT}").withColumn("least", least).filter("n >= least")
+    found = {r["word"]: r["n"] for r in frequent.select("word", "n").collect()}
+    # A slip or an abbreviation that is frequent itself goes with the word that is more frequent.
+    kept: list[str] = []
+    for word in sorted(found, key=lambda w: (-found[w], w)):
+        if not Lines(kept).of(word, True):
+            kept.append(word)
+    return Lines(kept)
 
 
 def similar_names(names: DataFrame) -> DataFrame:
-    """``a, b``: all pairs of different names whose words are close enough (``similarity`` of DIRECT).
+    """``a, b, similarity``: all pairs of different names whose words are close enough (``similarity`` of DIRECT).
 
-    A pair meets through the n-grams it shares, if its vectors' cosine is large
-    enough, or through ``keys``, which no close pair lacks. N-grams are five
-    letters of coined words, so their lists stay short; n-grams only one name has
-    find nothing and count towards its length only.
+    The nearest NEAREST names of each by the cosine of their vectors, if that is
+    COSINE or more, are candidates; all others that the word test accepts meet
+    through ``keys``. N-grams only one name has find nothing and count towards its
+    length only. A gram is indexed only for names that could not reach the
+    threshold without it and the rarer ones (prefix filter, exact).
     """
     n = names.count()
     postings = write_cut(names.mapInPandas(_gram_rows, "name string, gram string"), "grams")
     df = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     weighted = postings.join(df, "gram").withColumn("w", F.log1p(F.lit(float(n)) / F.col("df")))
-    norms = weighted.groupBy("name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    shared = weighted.filter("df > 1").select("gram", "name", "w")
-    left, right = shared.select("gram", F.col("name").alias("a"), "w"), shared.select("gram", F.col("name").alias("b"))
-    dots = left.join(right, "gram").filter("a < b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("w")).alias("dot"))
-    pairs = dots.join(norms.select(F.col("name").alias("a"), F.col("norm").alias("na")), "a").join(norms.select(F.col("name").alias("b"), F.col("norm").alias("nb")), "b")
-    close = pairs.filter(F.col("dot") >= COSINE * F.col("na") * F.col("nb")).select("a", "b")
-    keyed = write_cut(names.mapInPandas(_key_rows, "name string, key bigint"), "keys")
+    vectors = weighted.groupBy("name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
+    vectors = write_cut(vectors.select("name", F.transform("v", lambda x: F.struct(x["df"].alias("df"), x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))).alias("v")), "vectors")
+    # From the most frequent gram down, those whose squared weights stay below COSINE squared need not be indexed.
+    rest = F.transform("v", lambda x, i: F.aggregate(F.slice("v", i + 1, F.size("v")), F.lit(0.0), lambda s, y: s + y["w"] * y["w"]))
+    prefix = vectors.select("name", F.explode(F.filter(F.arrays_zip("v", rest.alias("rest")), lambda z: (z["rest"] >= COSINE**2) & (z["v"]["df"] > 1))).alias("z"))
+    indexed = write_cut(prefix.select("name", F.col("z.v.gram").alias("gram"), F.col("z.v.w").alias("w")), "index")
+    shared = vectors.select("name", F.explode("v").alias("x")).filter("x.df > 1").select(F.col("x.gram").alias("gram"), F.col("name").alias("b"), F.col("x.w").alias("wb"))
+    dots = indexed.withColumnRenamed("name", "a").join(shared, "gram").filter("a <> b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("wb")).alias("cosine"))
+    nearest = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
+    close = dots.filter(F.col("cosine") >= COSINE).withColumn("n", F.row_number().over(nearest)).filter(f"n <= {NEAREST}").select("a", "b")
+    keyed = write_cut(names.mapInPandas(_key_rows, "name string, key bigint, asks boolean"), "keys")
     # Keys are numbers: two that fall together only add a pair to be tested.
-    met = keyed.select("key", F.col("name").alias("a")).join(keyed.select("key", F.col("name").alias("b")), "key").filter("a < b").select("a", "b")
-    return close.unionAll(met).distinct().mapInPandas(_tested, "a string, b string")
+    met = keyed.filter("asks").select("key", F.col("name").alias("a")).join(keyed.select("key", F.col("name").alias("b")), "key").filter("a <> b").select("a", "b")
+    pairs = close.unionAll(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.mapInPandas(_tested, "a string, b string, similarity double")
 
 
 def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -267,25 +338,15 @@ def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(name, k) for name in batch["name"] for k in sorted(keys(name))]
-        df = pd.DataFrame(rows, columns=["name", "key"])
+        rows = [(name, k, asks) for name in batch["name"] for k, asks in keys(name).items()]
+        df = pd.DataFrame(rows, columns=["name", "key", "asks"])
         yield df.assign(key=pd.util.hash_array(df["key"].to_numpy(dtype=object), categorize=False).astype("int64"))
 
 
 def _tested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        keep = [similarity(a, b) >= DIRECT for a, b in zip(batch["a"], batch["b"], strict=True)]
-        yield batch[keep]
-
-
-def _linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for names in batch["names"]:
-            names = sorted(names)
-            for name, g in zip(names, average_linkage(names), strict=True):
-                rows.append((name, names[g]))
-        yield pd.DataFrame(rows, columns=["name", "grp"])
+        score = np.array([similarity(a, b) for a, b in zip(batch["a"], batch["b"], strict=True)], dtype=np.float64)
+        yield batch.assign(similarity=score)[score >= DIRECT]
 
 
 def organisations(every: DataFrame) -> DataFrame:
@@ -295,15 +356,21 @@ def organisations(every: DataFrame) -> DataFrame:
     organisations; where a group has one line of business only, spellings without
     it belong there too. Placeholders are left out.
     """
-    parsed = write_cut(every.mapInPandas(_parsed, "spelling string, name string, business string"), "names")
-    names = parsed.select("name").distinct()
-    labels = min_labels(similar_names(names))
-    # A component holds the different folded spellings of one organisation, however many rows carry them.
-    groups = labels.groupBy("label").agg(F.collect_list("node").alias("names")).mapInPandas(_linked, "name string, grp string")
+    every = write_cut(every, "spellings")
+    lines = sorted(lines_of_business(every).words)
+
+    def parsed_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Lines(lines)
+        for batch in batches:
+            rows = [(s, *p) for s in batch["spelling"] if (p := parse(s, known))]
+            yield pd.DataFrame(rows, columns=["spelling", "name", "business"])
+
+    parsed = write_cut(every.mapInPandas(parsed_rows, "spelling string, name string, business string"), "names")
+    groups = average_linkage(similar_names(parsed.select("name").distinct()))
     with_group = parsed.join(groups, "name", "left").select("spelling", "business", F.coalesce("grp", "name").alias("grp"))
-    lines = with_group.filter("business <> ''").groupBy("grp").agg(F.count_distinct("business").alias("n"))
+    lines_of = with_group.filter("business <> ''").groupBy("grp").agg(F.count_distinct("business").alias("n"))
     key = F.when(F.coalesce("n", F.lit(0)) <= 1, F.col("grp")).otherwise(F.concat_ws("|", "grp", "business"))
-    return with_group.join(lines, "grp", "left").select("spelling", key.alias("organisation"))
+    return with_group.join(lines_of, "grp", "left").select("spelling", key.alias("organisation"))
 
 
 def same_organisation(columns: list[tuple[DataFrame, str]]) -> DataFrame:
