@@ -3,18 +3,21 @@
 Every row is reduced to three attributes: its organisation, its role and its
 place, each brought to one form although people typed it in many. Rows with the
 same attributes are one record. Records of one side are the queries, those of the
-other side an inverted index over the terms of all attributes, alone and in
-pairs; scores are BM25. The best candidate must be mutual, and its confidence
-comes from its score and its lead over the second by logistic calibration.
+other side an inverted index over the terms of all attributes, words and pieces of
+them, alone and together; scores are BM25. The best candidate must be mutual, and
+its confidence comes from its score and its lead over the second by logistic
+calibration. No attribute has to be equal.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.llm.canonical import NOISE, allowed_edits, deletes, fold, map_values, segments
@@ -68,7 +71,7 @@ def _attributes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _delete_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(v, n, k) for v, n in zip(batch["value"], batch["n"], strict=True) for k in deletes(v[:60], min(1, allowed_edits(len(v))))]
+        rows = [(v, n, k) for v, n in zip(batch["value"], batch["n"], strict=True) for k in deletes(v, min(1, allowed_edits(len(v))))]
         yield pd.DataFrame(rows, columns=["value", "n", "key"])
 
 
@@ -123,68 +126,188 @@ def described(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     return fixed.join(single, ["org", "role"], "left").withColumn("city", F.when(F.col("single"), "*").otherwise(F.col("city"))).drop("single")
 
 
-def terms() -> Column:
-    """All attributes of a record as index terms, alone and in pairs."""
-    o, r, p = (F.concat(F.lit(f"{k}="), F.col(c)) for k, c in (("o", "org"), ("r", "role"), ("p", "city")))
-    return F.array(o, r, p, F.concat_ws("&", o, r), F.concat_ws("&", o, p))
+#: Pieces of a place's name by which slips of typing still agree.
+GRAM = 2
+#: A match scores at least this share of what a record scores against itself.
+LEAST = 0.45
+#: Pairs of either kind the calibration is learned from, at most.
+CALIBRATION = 1_000
 
 
-def retrieve(queries: DataFrame, index: DataFrame) -> DataFrame:
-    """``org, role, q_city, city, score`` of the candidates of every query record, by BM25 over all terms.
+def _all(kind: str, *parts: Column) -> Column:
+    return F.xxhash64(F.lit(kind), *parts)
 
-    Pruning is exact: a match must share organisation and role, so the only list
-    that has to be read is that of the rare pair term; what the other terms can add
-    is bounded and decides between the records on that list.
-    """
-    n = index.count()
-    postings = index.select("org", "role", "city", F.explode(terms()).alias("term"))
-    frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    # Every record has as many terms, each once: the length part of BM25 is 1, the frequency part constant.
-    weight = frequency.select("term", (idf * (K1 + 1) / (1 + K1)).alias("w"))
-    pairs = queries.select("org", "role", F.col("city").alias("q_city")).join(index, ["org", "role"])
-    same_place = F.col("city") == F.col("q_city")
-    shared = pairs.withColumn("term", F.explode(F.when(same_place, terms()).otherwise(F.filter(terms(), lambda t: ~t.rlike("(^|&)p=")))))
-    return shared.join(weight, "term").groupBy("org", "role", "q_city", "city").agg(F.sum("w").alias("score"))
 
+def terms() -> dict[str, Column]:
+    """The index terms of a record, as arrays of hashes by kind: its attributes, the words of its organisation, and what stands together.
 
-def matched_records(records: DataFrame) -> DataFrame:
-    """``org, role, q_city, city, score, confidence``: mutual best candidates between side "a" and side "b"."""
-    distinct = write_cut(records.groupBy("side", "org", "role", "city").agg(F.count(F.lit(1)).alias("n")), "records")
-    a, b = (distinct.filter(F.col("side") == s).select("org", "role", "city") for s in ("a", "b"))
-    scored = write_cut(retrieve(a, b), "scored")
-    rank = F.struct("score", (F.col("city") == F.col("q_city")).alias("same"))
-    # Places per organisation and role are few; the two best scores are kept by partial aggregation.
-    by_query = scored.groupBy("org", "role", "q_city").agg(F.max_by("city", rank).alias("city"), F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, 2).alias("top"))
-    by_record = scored.groupBy("org", "role", "city").agg(F.max_by("q_city", rank).alias("q_city"))
-    mutual = by_query.join(by_record, ["org", "role", "q_city", "city"])
-    lead = F.col("top")[0] - F.coalesce(F.try_element_at("top", F.lit(2)), F.lit(0.0))
-    mutual = mutual.select("org", "role", "q_city", "city", F.col("top")[0].alias("score"), lead.alias("lead"))
-    same = F.col("q_city") == F.col("city")
-    return mutual.withColumn("confidence", _confidence(scored, mutual, same))
-
+    A record without a city ("*") has no terms of its place.
+    """
+    o, r, c = F.col("org"), F.col("role"), F.col("city")
+    words = F.filter(F.split(o, "[ |]"), lambda w: w != "")
+    padded = F.concat(F.lit("^"), c, F.lit("$"))
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - (GRAM - 1))), lambda i: F.substr(padded, i, F.lit(GRAM)))
+    none = F.array().cast("array<bigint>")
+    placed = lambda x: F.when(c == "*", none).otherwise(x)
+    title = F.when(r.startswith("w:"), F.transform(F.split(F.substr(r, F.lit(3)), " "), lambda w: _all("oct", o, c, w))).otherwise(none)
+    return {
+        "or": F.array(_all("or", o, r)),
+        "oc": placed(F.array(_all("oc", o, c))),
+        "nrc": placed(F.transform(words, lambda w: _all("nrc", w, r, c))),
+        "nr": F.transform(words, lambda w: _all("nr", w, r)),
+        "o": F.array(_all("o", o)),
+        "n": F.array_distinct(F.transform(words, lambda w: _all("n", w))),
+        "r": F.array(_all("r", r)),
+        "c": placed(F.array(_all("c", c))),
+        "org": placed(F.array_distinct(F.transform(grams, lambda g: _all("org", o, r, g)))),
+        "oct": placed(title),
+    }
+
+
+#: Kinds of terms whose lists every query reads: organisation and role, organisation and place, or all three stand together, so the lists are short.
+PAIRED = ("or", "oc", "nrc")
+
+
+def _share(length: Column, mean: float) -> Column:
+    """What a record's number of terms makes of the weight of each (BM25; every term stands once)."""
+    return F.lit(K1 + 1) / (F.lit(1.0) + F.lit(K1) * (F.lit(1 - B) + F.lit(B / mean) * length))
+
+
+def indexed(records: DataFrame) -> DataFrame:
+    """``rid, kinds map<kind, terms>, all`` of ``org, role, city``."""
+    made = terms()
+    kinds = F.create_map(*[x for k, t in made.items() for x in (F.lit(k), t)])
+    return records.select(F.concat_ws("\t", "org", "role", "city").alias("rid"), kinds.alias("kinds"), F.array_distinct(F.flatten(F.array(*made.values()))).alias("all"))
+
+
+@dataclass
+class Index:
+    """An inverted index of records with BM25 weights."""
+
+    records: DataFrame  # rid, kinds, all
+    frequency: DataFrame  # term, df
+    n: int
+    mean: float
+    shortest: int
+
+    @staticmethod
+    def of(records: DataFrame) -> Index:
+        docs = write_cut(indexed(records), "index")
+        n, mean, shortest = docs.agg(F.count(F.lit(1)), F.avg(F.size("all")), F.min(F.size("all"))).first()
+        frequency = docs.select(F.explode("all").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        return Index(docs, write_cut(frequency, "frequency"), n, mean or 1.0, shortest or 1)
+
+    def weighted(self, records: DataFrame) -> DataFrame:
+        """``rid, kinds, weights array<struct<term, w>>, whole``: a query's terms with their rarity, and what it scores against itself."""
+        queries = indexed(records)
+        df = F.coalesce("df", F.lit(0))
+        idf = F.log1p((F.lit(float(self.n)) - df + 0.5) / (df + 0.5))
+        each = queries.select("rid", F.explode("all").alias("term")).join(self.frequency, "term", "left").select("rid", "term", idf.alias("w"))
+        arrays = each.groupBy("rid").agg(F.collect_list(F.struct("term", "w")).alias("weights"), F.sum("w").alias("sum"))
+        whole = F.col("sum") * _share(F.size("weights"), self.mean)
+        return write_cut(queries.select("rid", "kinds").join(arrays, "rid").withColumn("whole", whole).drop("sum"), "queries")
+
+    def candidates(self, queries: DataFrame) -> DataFrame:
+        """``q, d``: every record that can score LEAST of a query's whole.
+
+        What shares no paired term shares at most the organisation and its words, or
+        words and role, words and place, or role and place. Only where these could
+        reach LEAST (upper bound: in the shortest record) the query reads the lists of
+        its words and its place, too; the others need not be read.
+        """
+
+        def of(*kinds: str) -> Column:
+            named = F.concat(*[F.col("kinds")[k] for k in kinds])
+            return F.aggregate("weights", F.lit(0.0), lambda s, x: s + F.when(F.array_contains(named, x["term"]), x["w"]).otherwise(0.0))
+
+        alone = F.greatest(of("o", "n"), of("n", "r", "nr"), of("n", "c"), of("r", "c")) * _share(F.lit(self.shortest), self.mean)
+        more = F.when(alone >= F.col("whole") * LEAST, F.concat(F.col("kinds")["n"], F.col("kinds")["c"])).otherwise(F.array().cast("array<bigint>"))
+        asked = F.array_distinct(F.concat(*[F.col("kinds")[k] for k in PAIRED], more))
+        asks = queries.select(F.col("rid").alias("q"), F.explode(asked).alias("term"))
+        lists = self.records.select(F.col("rid").alias("d"), F.explode(F.array_distinct(F.concat(*[F.col("kinds")[k] for k in (*PAIRED, "n", "c")]))).alias("term"))
+        return asks.join(lists, "term").select("q", "d").distinct()
+
+    def scored(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:
+        """``q, d, score`` of pairs: BM25 as a share of what the query scores against itself; those of LEAST or more."""
+        asked = pairs.join(queries.select(F.col("rid").alias("q"), "weights", "whole"), "q")
+        met = asked.join(self.records.select(F.col("rid").alias("d"), F.col("all").alias("terms")), "d")
+        shared = F.aggregate("weights", F.lit(0.0), lambda s, x: s + F.when(F.array_contains("terms", x["term"]), x["w"]).otherwise(0.0))
+        score = F.round(shared * _share(F.size("terms"), self.mean) / F.col("whole"), 6)
+        return met.select("q", "d", score.alias("score")).filter(F.col("score") >= LEAST)
+
+
+def nearest(scored: DataFrame) -> DataFrame:
+    """``q, d, score, lead``: every query's best record and its lead over the second (over nothing: its whole score)."""
+    rank = Window.partitionBy("q").orderBy(F.desc("score"), "d")
+    two = scored.withColumn("n", F.row_number().over(rank)).filter("n <= 2")
+    of = lambda n, c: F.max(F.when(F.col("n") == n, F.col(c)))
+    return two.groupBy("q").agg(of(1, "d").alias("d"), of(1, "score").alias("score"), (of(1, "score") - F.coalesce(of(2, "score"), F.lit(0.0))).alias("lead"))
+
+
+def slipped(place: str, seed: int) -> str:
+    """A place with one slip of typing: two neighbours swapped, a letter lost, or one typed twice."""
+    at = 1 + seed % max(1, len(place) - 2)
+    return [place[:at] + place[at : at + 2][::-1] + place[at + 2 :], place[:at] + place[at + 1 :], place[:at] + place[at] + place[at:]][seed % 3]
+
+
+def calibrated(index: Index, best: DataFrame, scored: DataFrame) -> np.ndarray:
+    """Logistic weights of score and lead, learned from at most CALIBRATION pairs of each kind.
+
+    The right ones are best records with all attributes of the query, as they are
+    and with a slip put into the place; the wrong ones are what comes second, and
+    best records with the place of another query put in the query's stead.
+    """
+    hashed = lambda df: df.orderBy(F.xxhash64("q", "d")).limit(CALIBRATION)
+    same = hashed(best.filter("q = d")).select("q", "d", "score", "lead").collect()
+    if not same:
+        return np.array([1.0, 1.0, -1.0])
+    second = hashed(scored.join(best.select("q", F.col("d").alias("first")), "q").filter("d <> first and q <> d")).select("score").collect()
+    placed = [(r, *r["q"].split("\t")) for r in same]
+    placed = [x for x in placed if x[3] != "*" and len(x[3]) > 3]
+    rows = []
+    for i, (r, org, role, place) in enumerate(placed):
+        rows.append((org, role, slipped(place, i), r["d"], r["score"] - r["lead"], 1.0))
+        other = placed[i - 1][3]
+        if edits(other, place, 2) > 2:
+            rows.append((org, role, other, r["d"], 0.0, 0.0))
+    made = best.sparkSession.createDataFrame(rows, "org string, role string, city string, d string, second double, right double")
+    queries = index.weighted(made.select("org", "role", "city").distinct())
+    pairs = made.select(F.concat_ws("\t", "org", "role", "city").alias("q"), "d", "second", "right").dropDuplicates(["q", "d"])
+    typed = index.scored(pairs.select("q", "d"), queries).join(pairs, ["q", "d"]).select("score", F.greatest(F.lit(0.0), F.col("score") - F.col("second")).alias("lead"), "right").collect()
+    right = [(r["score"], r["lead"]) for r in same] + [(r["score"], r["lead"]) for r in typed if r["right"]]
+    # What comes second would be the best, with a lead of its whole score, if the first were missing. Nothing scores less than LEAST.
+    wrong = [(r["score"], lead) for r in second for lead in (0.0, r["score"])] + [(r["score"], r["lead"]) for r in typed if not r["right"]] + [(LEAST, LEAST), (LEAST, 0.0)] * 20
+    wrong *= -(-len(right) // len(wrong))  # as many of either kind
+    return learn_weights(np.array(right + wrong), np.array([1.0] * len(right) + [0.0] * len(wrong)))
 
-#: Candidates the calibration is learned from, at most.
-CALIBRATION = 2_000
 
+def matched_records(records: DataFrame) -> DataFrame:
+    """``q, d, score, lead, confidence``: mutual best records of side "a" and side "b" whose confidence is a half or more.
 
-def _confidence(scored: DataFrame, mutual: DataFrame, same: Column) -> Column:
-    """Logistic in score and lead, learned from candidates that agree or disagree in their place."""
-    sample = mutual.select("score", "lead", same.cast("double").alias("y")).orderBy(F.xxhash64("org", "role", "q_city")).limit(CALIBRATION).toPandas()
-    if sample.empty or sample["y"].nunique() < 2:
-        return F.when(same, 1.0).otherwise(0.0)
-    w = learn_weights(sample[["score", "lead"]].to_numpy(), sample["y"].to_numpy())
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("score") * float(w[0]) + F.col("lead") * float(w[1]) + float(w[2]))))
+    A record is ``org, role, city``; ``q`` and ``d`` are its attributes joined by tabs.
+    No attribute has to agree: what decides is the score over all of them, its lead,
+    and that neither side has a better one.
+    """
+    distinct = write_cut(records.select("side", "org", "role", "city").distinct(), "records")
+    a, b = (distinct.filter(F.col("side") == s).select("org", "role", "city") for s in ("a", "b"))
+    index = Index.of(b)
+    queries = index.weighted(a)
+    scored = write_cut(index.scored(index.candidates(queries), queries), "scored")
+    best = write_cut(nearest(scored), "best")
+    top = scored.groupBy("d").agg(F.max("score").alias("top"))
+    mutual = best.join(top, "d").filter("score >= top").select("q", "d", "score", "lead")
+    w = calibrated(index, best, scored)
+    confidence = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("score") * float(w[0]) + F.col("lead") * float(w[1]) + float(w[2]))))
+    return mutual.withColumn("confidence", confidence).filter("confidence >= 0.5")
 
 
 def same_openings(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     """``row_id_a, row_id_b, confidence``: rows of side "a" and side "b" about the same opening."""
     records = write_cut(described(rows, catalog), "openings")
-    # Exact check: the mutual best candidate must agree in the place, too.
-    pairs = matched_records(records).filter("q_city = city").select("org", "role", "city", "confidence")
-    a = records.filter("side = 'a'").select("org", "role", "city", F.col("row_id").alias("row_id_a"))
-    b = records.filter("side = 'b'").select("org", "role", "city", F.col("row_id").alias("row_id_b"))
-    return a.join(pairs, ["org", "role", "city"]).join(b, ["org", "role", "city"]).select("row_id_a", "row_id_b", "confidence")
+    rid = F.concat_ws("\t", "org", "role", "city")
+    a = records.filter("side = 'a'").select(rid.alias("q"), F.col("row_id").alias("row_id_a"))
+    b = records.filter("side = 'b'").select(rid.alias("d"), F.col("row_id").alias("row_id_b"))
+    return a.join(matched_records(records), "q").join(b, "d").select("row_id_a", "row_id_b", "confidence")
 
 
 def posting_rows(sources: DataFrame, greenhouse: DataFrame, ashby: DataFrame) -> DataFrame:
