@@ -105,12 +105,14 @@ class Dictionary:
     by_first: dict[str, list[str]] = field(default_factory=lambda: defaultdict(list))
     seen: dict[str, dict[str, float]] = field(default_factory=dict)
     vocabulary: set[str] = field(default_factory=set)  # words of all blocks
+    longest: int = 0
 
     def __post_init__(self) -> None:
         for n, (_, words, _) in enumerate(self.entries):
             for w in set(words):
                 self.by_word[w].append(n)
         self.vocabulary = self.vocabulary | self.by_word.keys()
+        self.longest = max(map(len, self.vocabulary), default=0)  # a longer token is no slip of any word
         for w in sorted(self.vocabulary):
             self.by_first[w[:1]].append(w)
             for d in deletes(w, allowed_edits(len(w))):
@@ -125,7 +127,7 @@ class Dictionary:
             if token in self.vocabulary:
                 found[token] = 0.0
             reach = allowed_edits(len(token))
-            for d in deletes(token, reach) if len(token) <= 40 else ():
+            for d in deletes(token, reach) if len(token) <= self.longest + reach else ():
                 for w in self.words.get(d, ()):
                     cost = weighted_distance(token, w)
                     if cost <= 1.35 * max(1, min(reach, allowed_edits(len(w)))):
@@ -209,6 +211,31 @@ def reference_entries(catalog: DataFrame, exact_counts: DataFrame) -> list[list[
     return [entries[i : i + ENTRIES_A_BLOCK] for i in range(0, len(entries), ENTRIES_A_BLOCK)]
 
 
+def reference(rows: DataFrame, value: str, catalog: DataFrame) -> tuple[list[list[tuple[int, tuple[str, ...], int]]], set[str]]:
+    """(blocks of reference entries, all words of the list); frequencies are how often entries stand, exactly typed, in ``value``."""
+    names = catalog.select("role_id", F.lower("canonical_title").alias("v"))
+    exact = rows.groupBy(F.lower(F.trim(value)).alias("v")).count().join(names, "v").groupBy("role_id").agg(F.sum("count").alias("n"))
+    blocks = reference_entries(catalog, exact) or [[]]
+    return blocks, {w for b in blocks for _, words, _ in b for w in words}
+
+
+class Mapper:
+    """Maps values one by one within a task; holds the whole reference list."""
+
+    def __init__(self, blocks: list, vocabulary: set[str]) -> None:
+        self.dictionaries = [Dictionary(b, vocabulary=vocabulary) for b in blocks]
+        self.memory: dict[str, int] = {}
+
+    def entry(self, value: str) -> int:
+        """The entry's id, or 0."""
+        found = self.memory.get(value)
+        if found is None:
+            if len(self.memory) > VALUES_KEPT:
+                self.memory.clear()
+            found = self.memory[value] = min(d.best(value) for d in self.dictionaries)[2]
+        return found
+
+
 def map_values(values: DataFrame, key: str, value: str, catalog: DataFrame) -> DataFrame:
     """``key, role_id`` of every row whose value isn't blank: its entry of ``catalog``, or 0.
 
@@ -218,10 +245,7 @@ def map_values(values: DataFrame, key: str, value: str, catalog: DataFrame) -> D
     """
     key_type = values.schema[key].dataType.simpleString()
     rows = values.select(F.col(key).alias("k"), F.col(value).cast("string").alias("v")).filter(F.col("v").rlike(r"[^\s\p{Z}]"))
-    names = catalog.select("role_id", F.lower("canonical_title").alias("v"))
-    exact = rows.groupBy(F.lower(F.trim("v")).alias("v")).count().join(names, "v").groupBy("role_id").agg(F.sum("count").alias("n"))
-    blocks = reference_entries(catalog, exact) or [[]]
-    vocabulary = {w for b in blocks for _, words, _ in b for w in words}
+    blocks, vocabulary = reference(rows, "v", catalog)
 
     def answers(entries: list):  # noqa: ANN202
         def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobloom.llm.canonical import NOISE, allowed_edits, deletes, fold, map_values, segments
+from jobloom.llm.canonical import NOISE, VALUES_KEPT, Mapper, allowed_edits, deletes, fold, reference, segments
 from jobloom.llm.incremental import learn_weights
 from jobloom.llm.names import edits, organisations
 from jobloom.plans.shared import write_cut
@@ -62,13 +62,6 @@ def plain_title(title: str, place: str) -> str:
     return " ".join(sorted(kept))
 
 
-def _attributes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        places = [city(p) for p in batch["place"]]
-        titles = [plain_title(t, p) for t, p in zip(batch["title"], places, strict=True)]
-        yield pd.DataFrame({"row_id": batch["row_id"], "city": places, "words": titles})
-
-
 def _delete_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = [(v, n, k) for v, n in zip(batch["value"], batch["n"], strict=True) for k in deletes(v, min(1, allowed_edits(len(v))))]
@@ -106,17 +99,28 @@ def described(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     "*" in all rows of an organisation's role once one of them has no city: then
     the organisation has only that opening for the role.
     """
-    rows = write_cut(rows.filter(F.col("title").rlike(r"[^\s\p{Z}]") & F.col("company").rlike(r"[^\s\p{Z}]")), "rows")
-    orgs = organisations(rows.select(F.col("company").alias("spelling")).distinct())
-    roles = map_values(rows, "row_id", "title", catalog)
-    texts = rows.select("row_id", "title", "place").mapInPandas(_attributes, "row_id bigint, city string, words string")
-    joined = (
-        rows.select("side", "row_id", F.col("company").alias("spelling"))
-        .join(orgs, "spelling")
-        .join(texts, "row_id")
-        .join(roles, "row_id")
-        .select("side", "row_id", F.col("organisation").alias("org"), "role_id", "city", F.when(F.col("role_id") == 0, F.col("words")).otherwise("").alias("words"))
-    )
+    rows = rows.filter(F.col("title").rlike(r"[^\s\p{Z}]") & F.col("company").rlike(r"[^\s\p{Z}]"))
+    blocks, vocabulary = reference(rows, "title", catalog)
+
+    def attributes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mapper = Mapper(blocks, vocabulary)
+        places: dict[str | None, str] = {}
+        for batch in batches:
+            out = []
+            for title, place in zip(batch["title"], batch["place"], strict=True):
+                if place not in places:
+                    if len(places) > VALUES_KEPT:
+                        places.clear()
+                    places[place] = city(place)
+                role = mapper.entry(title)
+                out.append((role, places[place], "" if role else plain_title(title, places[place])))
+            made = pd.DataFrame(out, columns=["role_id", "city", "words"])
+            yield pd.concat([batch[["side", "row_id", "spelling"]].reset_index(drop=True), made], axis=1)
+
+    texts = rows.select("side", "row_id", F.col("company").alias("spelling"), "title", "place")
+    texts = write_cut(texts.mapInPandas(attributes, "side string, row_id bigint, spelling string, role_id bigint, city string, words string"), "rows")
+    orgs = organisations(texts.select("spelling").distinct())
+    joined = texts.join(orgs, "spelling").select("side", "row_id", F.col("organisation").alias("org"), "role_id", "city", "words")
     joined = write_cut(joined, "described")
     fixed = _usual(joined, "city", usual_spellings(joined.select(F.col("city").alias("value"))))
     fixed = _usual(fixed, "words", usual_spellings(joined.select(F.col("words").alias("value"))))
@@ -126,113 +130,126 @@ def described(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     return fixed.join(single, ["org", "role"], "left").withColumn("city", F.when(F.col("single"), "*").otherwise(F.col("city"))).drop("single")
 
 
-#: Pieces of a place's name by which slips of typing still agree.
+#: Letters of the pieces of a place's name, by which slips of typing still agree.
 GRAM = 2
+HEADS = (3, 4)  # with the mark of the beginning
 #: A match scores at least this share of what a record scores against itself.
 LEAST = 0.45
 #: Pairs of either kind the calibration is learned from, at most.
 CALIBRATION = 1_000
 
 
-def _all(kind: str, *parts: Column) -> Column:
-    return F.xxhash64(F.lit(kind), *parts)
+def org_words(org: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(org, "[ |]"), lambda w: w != ""))
 
 
-def terms() -> dict[str, Column]:
-    """The index terms of a record, as arrays of hashes by kind: its attributes, the words of its organisation, and what stands together.
+def place_grams(city: Column) -> Column:
+    """The pieces of a place's name, its ends included, and its beginnings, which slips seldom hit; none where a record has no city ("*")."""
+    padded = F.concat(F.lit("^"), city, F.lit("$"))
+    grams = F.transform(F.sequence(F.lit(1), F.length(padded) - (GRAM - 1)), lambda i: F.substr(padded, i, F.lit(GRAM)))
+    return F.when(city == "*", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(grams, F.array(*[F.substr(padded, F.lit(1), F.lit(n)) for n in HEADS]))))
 
-    A record without a city ("*") has no terms of its place.
-    """
-    o, r, c = F.col("org"), F.col("role"), F.col("city")
-    words = F.filter(F.split(o, "[ |]"), lambda w: w != "")
-    padded = F.concat(F.lit("^"), c, F.lit("$"))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(padded) - (GRAM - 1))), lambda i: F.substr(padded, i, F.lit(GRAM)))
-    none = F.array().cast("array<bigint>")
-    placed = lambda x: F.when(c == "*", none).otherwise(x)
-    title = F.when(r.startswith("w:"), F.transform(F.split(F.substr(r, F.lit(3)), " "), lambda w: _all("oct", o, c, w))).otherwise(none)
-    return {
-        "or": F.array(_all("or", o, r)),
-        "oc": placed(F.array(_all("oc", o, c))),
-        "nrc": placed(F.transform(words, lambda w: _all("nrc", w, r, c))),
-        "nr": F.transform(words, lambda w: _all("nr", w, r)),
-        "o": F.array(_all("o", o)),
-        "n": F.array_distinct(F.transform(words, lambda w: _all("n", w))),
-        "r": F.array(_all("r", r)),
-        "c": placed(F.array(_all("c", c))),
-        "org": placed(F.array_distinct(F.transform(grams, lambda g: _all("org", o, r, g)))),
-        "oct": placed(title),
-    }
-
-
-#: Kinds of terms whose lists every query reads: organisation and role, organisation and place, or all three stand together, so the lists are short.
-PAIRED = ("or", "oc", "nrc")
-
-
-def _share(length: Column, mean: float) -> Column:
-    """What a record's number of terms makes of the weight of each (BM25; every term stands once)."""
-    return F.lit(K1 + 1) / (F.lit(1.0) + F.lit(K1) * (F.lit(1 - B) + F.lit(B / mean) * length))
-
-
-def indexed(records: DataFrame) -> DataFrame:
-    """``rid, kinds map<kind, terms>, all`` of ``org, role, city``."""
-    made = terms()
-    kinds = F.create_map(*[x for k, t in made.items() for x in (F.lit(k), t)])
-    return records.select(F.concat_ws("\t", "org", "role", "city").alias("rid"), kinds.alias("kinds"), F.array_distinct(F.flatten(F.array(*made.values()))).alias("all"))
+
+def title_words(role: Column) -> Column:
+    """The words of a role that isn't in the reference list."""
+    return F.when(role.startswith("w:"), F.split(F.substr(role, F.lit(3)), " ")).otherwise(F.array().cast("array<string>"))
+
+
+def terms(org: Column, role: Column, city: Column) -> Column:
+    """How many index terms a record has: organisation, role, place; the words of the organisation; organisation with role, with
+    place; and, together with these pairs, the words of the organisation, the pieces of the place, and the words of the role."""
+    placed = F.when(city == "*", 0).otherwise(2)
+    return F.lit(3) + placed + 2 * F.size(org_words(org)) + F.size(place_grams(city)) + F.size(title_words(role))
 
 
 @dataclass
 class Index:
-    """An inverted index of records with BM25 weights."""
+    """An inverted index of records ``org, role, city`` with BM25 weights."""
 
-    records: DataFrame  # rid, kinds, all
-    frequency: DataFrame  # term, df
+    records: DataFrame
     n: int
     mean: float
     shortest: int
 
     @staticmethod
     def of(records: DataFrame) -> Index:
-        docs = write_cut(indexed(records), "index")
-        n, mean, shortest = docs.agg(F.count(F.lit(1)), F.avg(F.size("all")), F.min(F.size("all"))).first()
-        frequency = docs.select(F.explode("all").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        return Index(docs, write_cut(frequency, "frequency"), n, mean or 1.0, shortest or 1)
-
-    def weighted(self, records: DataFrame) -> DataFrame:
-        """``rid, kinds, weights array<struct<term, w>>, whole``: a query's terms with their rarity, and what it scores against itself."""
-        queries = indexed(records)
-        df = F.coalesce("df", F.lit(0))
-        idf = F.log1p((F.lit(float(self.n)) - df + 0.5) / (df + 0.5))
-        each = queries.select("rid", F.explode("all").alias("term")).join(self.frequency, "term", "left").select("rid", "term", idf.alias("w"))
-        arrays = each.groupBy("rid").agg(F.collect_list(F.struct("term", "w")).alias("weights"), F.sum("w").alias("sum"))
-        whole = F.col("sum") * _share(F.size("weights"), self.mean)
-        return write_cut(queries.select("rid", "kinds").join(arrays, "rid").withColumn("whole", whole).drop("sum"), "queries")
+        length = terms(F.col("org"), F.col("role"), F.col("city"))
+        n, mean, shortest = records.agg(F.count(F.lit(1)), F.avg(length), F.min(length)).first()
+        return Index(records, n, mean or 1.0, shortest or 1)
 
-    def candidates(self, queries: DataFrame) -> DataFrame:
-        """``q, d``: every record that can score LEAST of a query's whole.
+    def _share(self, length: Column) -> Column:
+        """What a record's number of terms makes of the weight of each; every term stands once in a record."""
+        return F.lit(K1 + 1) / (F.lit(1.0) + F.lit(K1) * (F.lit(1 - B) + F.lit(B / self.mean) * length))
+
+    def _rarity(self, frequency: Column) -> Column:
+        df = F.coalesce(frequency, F.lit(0))
+        return F.log1p((F.lit(float(self.n)) - df + 0.5) / (df + 0.5))
+
+    def weighted(self, queries: DataFrame) -> DataFrame:
+        """``q, org, role, city`` with the weight of each term and ``whole``, what the record scores against itself.
 
-        What shares no paired term shares at most the organisation and its words, or
-        words and role, words and place, or role and place. Only where these could
-        reach LEAST (upper bound: in the shortest record) the query reads the lists of
-        its words and its place, too; the others need not be read.
+        A piece of a place, and again a word of the organisation, is taken together with
+        organisation and role, a word of a role together with organisation and place;
+        such a term is at most as frequent as the pair, whose rarity it gets.
         """
+        count = lambda *keys: self.records.groupBy(*keys).agg(F.count(F.lit(1)).alias("df"))
+        rarity = lambda name: self._rarity(F.col("df")).alias(name)
+        words = queries.select("org").distinct().select("org", F.explode(org_words(F.col("org"))).alias("word"))
+        in_words = self.records.select(F.explode(org_words(F.col("org"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+        named = words.join(in_words, "word", "left").groupBy("org").agg(F.collect_list(F.struct("word", rarity("w"))).alias("w_n"))
+        out = queries.join(named, "org", "left")
+        for name, keys in (("w_o", ["org"]), ("w_r", ["role"]), ("w_c", ["city"]), ("w_or", ["org", "role"]), ("w_oc", ["org", "city"])):
+            out = out.join(count(*keys), keys, "left").withColumn(name, rarity(name)).drop("df")
+        placed = F.col("city") != "*"
+        sum_n = F.aggregate("w_n", F.lit(0.0), lambda s, x: s + x["w"])
+        out = out.withColumns({"w_c": F.when(placed, F.col("w_c")).otherwise(0.0), "w_oc": F.when(placed, F.col("w_oc")).otherwise(0.0)})
+        together = F.col("w_or") * (F.size(place_grams(F.col("city"))) + F.size("w_n") + 1) + F.col("w_oc") * (F.size(title_words(F.col("role"))) + 1)
+        whole = (F.col("w_o") + sum_n + F.col("w_r") + F.col("w_c") + together) * self._share(terms(F.col("org"), F.col("role"), F.col("city")))
+        return out.withColumn("whole", whole).withColumn("q", F.concat_ws("\t", "org", "role", "city"))
 
-        def of(*kinds: str) -> Column:
-            named = F.concat(*[F.col("kinds")[k] for k in kinds])
-            return F.aggregate("weights", F.lit(0.0), lambda s, x: s + F.when(F.array_contains(named, x["term"]), x["w"]).otherwise(0.0))
+    def candidates(self, queries: DataFrame) -> DataFrame:
+        """``q, d``: every record that can score LEAST of a query's whole.
 
-        alone = F.greatest(of("o", "n"), of("n", "r", "nr"), of("n", "c"), of("r", "c")) * _share(F.lit(self.shortest), self.mean)
-        more = F.when(alone >= F.col("whole") * LEAST, F.concat(F.col("kinds")["n"], F.col("kinds")["c"])).otherwise(F.array().cast("array<bigint>"))
-        asked = F.array_distinct(F.concat(*[F.col("kinds")[k] for k in PAIRED], more))
-        asks = queries.select(F.col("rid").alias("q"), F.explode(asked).alias("term"))
-        lists = self.records.select(F.col("rid").alias("d"), F.explode(F.array_distinct(F.concat(*[F.col("kinds")[k] for k in (*PAIRED, "n", "c")]))).alias("term"))
-        return asks.join(lists, "term").select("q", "d").distinct()
+        The lists of two attributes together are short and read for every query. What
+        is in none of them shares at most the organisation and its words, words and
+        role, words and place, or role and place. Only where these could reach LEAST
+        in the shortest record (upper bound) the query reads the lists of its words
+        and of its role with its place, too; the others need not be read.
+        """
+        sum_n = F.aggregate("w_n", F.lit(0.0), lambda s, x: s + x["w"])
+        alone = F.greatest(F.col("w_o") + sum_n, sum_n + F.col("w_r"), sum_n + F.col("w_c"), F.col("w_r") + F.col("w_c")) * self._share(F.lit(self.shortest))
+        reaching = queries.filter(alone >= F.col("whole") * LEAST)
+        d = self.records.withColumn("d", F.concat_ws("\t", "org", "role", "city"))
+        split = lambda df, *keys: df.withColumn("word", F.explode(org_words(F.col("org")))).select("word", *keys)
+        met = [
+            queries.select("org", "role", "q").join(d.select("org", "role", "d"), ["org", "role"]),
+            queries.filter("city <> '*'").select("org", "city", "q").join(d.filter("city <> '*'").select("org", "city", "d"), ["org", "city"]),
+            split(queries.filter("city <> '*'"), "role", "city", "q").join(split(d.filter("city <> '*'"), "role", "city", "d"), ["word", "role", "city"]),
+            split(reaching, "q").join(split(d, "d"), "word"),
+            reaching.select("role", "city", "q").join(d.select("role", "city", "d"), ["role", "city"]),
+        ]
+        every = met[0].select("q", "d")
+        for more in met[1:]:
+            every = every.unionAll(more.select("q", "d"))
+        return every.distinct()
 
     def scored(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:
         """``q, d, score`` of pairs: BM25 as a share of what the query scores against itself; those of LEAST or more."""
-        asked = pairs.join(queries.select(F.col("rid").alias("q"), "weights", "whole"), "q")
-        met = asked.join(self.records.select(F.col("rid").alias("d"), F.col("all").alias("terms")), "d")
-        shared = F.aggregate("weights", F.lit(0.0), lambda s, x: s + F.when(F.array_contains("terms", x["term"]), x["w"]).otherwise(0.0))
-        score = F.round(shared * _share(F.size("terms"), self.mean) / F.col("whole"), 6)
+        met = pairs.join(queries, "q").withColumn("x", F.split("d", "\t"))
+        org, role, city = (F.col("x")[i] for i in range(3))
+        same_o, same_r, same_c = org == F.col("org"), role == F.col("role"), (city == F.col("city")) & (city != "*")
+        when = lambda c, w: F.when(c, w).otherwise(0.0)
+        common = lambda f, a, b: F.size(F.array_intersect(f(a), f(b)))
+        words = org_words(org)
+        shared = (
+            when(same_o, F.col("w_o"))
+            + F.aggregate("w_n", F.lit(0.0), lambda s, x: s + when(F.array_contains(words, x["word"]), x["w"]))
+            + when(same_r, F.col("w_r"))
+            + when(same_c, F.col("w_c"))
+            + when(same_o & same_r, F.col("w_or") * (common(place_grams, F.col("city"), city) + F.size("w_n") + 1))
+            + when(same_o & same_c, F.col("w_oc") * (common(title_words, F.col("role"), role) + 1))
+        )
+        score = F.round(shared * self._share(terms(org, role, city)) / F.col("whole"), 6)
         return met.select("q", "d", score.alias("score")).filter(F.col("score") >= LEAST)
 
 
@@ -271,7 +288,7 @@ def calibrated(index: Index, best: DataFrame, scored: DataFrame) -> np.ndarray:
         if edits(other, place, 2) > 2:
             rows.append((org, role, other, r["d"], 0.0, 0.0))
     made = best.sparkSession.createDataFrame(rows, "org string, role string, city string, d string, second double, right double")
-    queries = index.weighted(made.select("org", "role", "city").distinct())
+    queries = write_cut(index.weighted(made.select("org", "role", "city").distinct()), "typed")
     pairs = made.select(F.concat_ws("\t", "org", "role", "city").alias("q"), "d", "second", "right").dropDuplicates(["q", "d"])
     typed = index.scored(pairs.select("q", "d"), queries).join(pairs, ["q", "d"]).select("score", F.greatest(F.lit(0.0), F.col("score") - F.col("second")).alias("lead"), "right").collect()
     right = [(r["score"], r["lead"]) for r in same] + [(r["score"], r["lead"]) for r in typed if r["right"]]
@@ -288,10 +305,10 @@ def matched_records(records: DataFrame) -> DataFrame:
     No attribute has to agree: what decides is the score over all of them, its lead,
     and that neither side has a better one.
     """
-    distinct = write_cut(records.select("side", "org", "role", "city").distinct(), "records")
+    distinct = records.select("side", "org", "role", "city").distinct()
     a, b = (distinct.filter(F.col("side") == s).select("org", "role", "city") for s in ("a", "b"))
-    index = Index.of(b)
-    queries = index.weighted(a)
+    index = Index.of(write_cut(b, "index"))
+    queries = write_cut(index.weighted(a), "queries")
     scored = write_cut(index.scored(index.candidates(queries), queries), "scored")
     best = write_cut(nearest(scored), "best")
     top = scored.groupBy("d").agg(F.max("score").alias("top"))

@@ -291,8 +291,8 @@ def test_retrieval_equals_all_pairs(spark, small):
     records = openings.described(opening_rows(spark, small), read(spark, small, "role_catalog")).select("side", "org", "role", "city").distinct().cache()
     a, b = (records.filter(F.col("side") == s).drop("side") for s in ("a", "b"))
     index = openings.Index.of(b)
-    asked = index.weighted(a)
-    every = asked.select(F.col("rid").alias("q")).crossJoin(index.records.select(F.col("rid").alias("d")))
+    asked = index.weighted(a).cache()
+    every = asked.select("q").crossJoin(index.records.select(F.concat_ws("\t", "org", "role", "city").alias("d")))
     want = {tuple(r) for r in index.scored(every, asked).collect()}
     got = {tuple(r) for r in index.scored(index.candidates(asked), asked).collect()}
     assert got == want and want and index.candidates(asked).count() < every.count() / 20
