@@ -324,7 +324,7 @@ def similar_names(names: DataFrame) -> DataFrame:
     nearest = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
     close = dots.filter(F.col("cosine") >= COSINE).withColumn("n", F.row_number().over(nearest)).filter(f"n <= {NEAREST}").select("a", "b")
     # Names are small, what is made of them is not: as many tasks as a shuffle has.
-    spread = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name")
+    spread = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keyed = write_cut(spread.mapInPandas(_key_rows, "name string, key bigint, asks boolean"), "keys")
     # Keys are numbers: two that fall together only add a pair to be tested.
     met = keyed.filter("asks").select("key", F.col("name").alias("a")).join(keyed.select("key", F.col("name").alias("b")), "key").filter("a <> b").select("a", "b")

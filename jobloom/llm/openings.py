@@ -210,23 +210,29 @@ class Index:
     def candidates(self, queries: DataFrame) -> DataFrame:
         """``q, d``: every record that can score LEAST of a query's whole.
 
-        The lists of two attributes together are short and read for every query. What
-        is in none of them shares at most the organisation and its words, words and
-        role, words and place, or role and place. Only where these could reach LEAST
-        in the shortest record (upper bound) the query reads the lists of its words
-        and of its role with its place, too; the others need not be read.
+        A list is read only where its records can reach LEAST: what they can share
+        with the query, if the attributes the list doesn't stand for differ, is bounded
+        by the weights of those terms in the shortest record. Mostly that leaves the
+        list of organisation and role, which is short.
         """
         sum_n = F.aggregate("w_n", F.lit(0.0), lambda s, x: s + x["w"])
-        alone = F.greatest(F.col("w_o") + sum_n, sum_n + F.col("w_r"), sum_n + F.col("w_c"), F.col("w_r") + F.col("w_c")) * self._share(F.lit(self.shortest))
-        reaching = queries.filter(alone >= F.col("whole") * LEAST)
+        top = self._share(F.lit(self.shortest)) / (F.col("whole") * LEAST)
+        of_place = F.col("w_o") + sum_n + F.col("w_c") + F.col("w_oc") * (F.size(title_words(F.col("role"))) + 1)
+        bounded = queries.select(
+            "q", "org", "role", "city",
+            (of_place * top >= 1).alias("by_place"),
+            ((sum_n + F.col("w_r") + F.col("w_c")) * top >= 1).alias("by_words"),
+            (F.greatest(F.col("w_o") + sum_n, sum_n + F.col("w_r"), sum_n + F.col("w_c")) * top >= 1).alias("by_word"),
+        )
         d = self.records.withColumn("d", F.concat_ws("\t", "org", "role", "city"))
         split = lambda df, *keys: df.withColumn("word", F.explode(org_words(F.col("org")))).select("word", *keys)
+        placed = bounded.filter("city <> '*'")
         met = [
-            queries.select("org", "role", "q").join(d.select("org", "role", "d"), ["org", "role"]),
-            queries.filter("city <> '*'").select("org", "city", "q").join(d.filter("city <> '*'").select("org", "city", "d"), ["org", "city"]),
-            split(queries.filter("city <> '*'"), "role", "city", "q").join(split(d.filter("city <> '*'"), "role", "city", "d"), ["word", "role", "city"]),
-            split(reaching, "q").join(split(d, "d"), "word"),
-            reaching.select("role", "city", "q").join(d.select("role", "city", "d"), ["role", "city"]),
+            bounded.select("org", "role", "q").join(d.select("org", "role", "d"), ["org", "role"]),
+            placed.filter("by_place").select("org", "city", "q").join(d.select("org", "city", "d"), ["org", "city"]),
+            split(placed.filter("by_words"), "role", "city", "q").join(split(d, "role", "city", "d"), ["word", "role", "city"]),
+            placed.filter("by_words").select("role", "city", "q").join(d.select("role", "city", "d"), ["role", "city"]),
+            split(bounded.filter("by_word"), "q").join(split(d, "d"), "word"),
         ]
         every = met[0].select("q", "d")
         for more in met[1:]:
