@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from jobloom.llm.canonical import abbreviates, deletes, fold
@@ -248,27 +248,33 @@ def average_linkage(pairs: DataFrame, cut: float = LINKAGE, max_rounds: int = 60
     round merges many pairs, with equi-joins and aggregations only: no group is
     gathered anywhere.
     """
-    sums = write_cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("similarity").alias("s")), "sums")
-    groups = write_cut(sums.select(F.col("a").alias("name")).union(sums.select("b")).distinct().select("name", F.col("name").alias("grp")), "groups")
-    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("similarity").alias("s"))
+    sums = start = write_cut(ordered.withColumns({"n_a": F.lit(1), "n_b": F.lit(1)}), "sums")
+    groups = start.select(F.col("a").alias("name")).union(start.select("b")).distinct().select("name", F.col("name").alias("grp"))
     for _ in range(max_rounds):
-        of = lambda side: sizes.select(F.col("grp").alias(side), F.col("n").alias(f"n_{side}"))
-        near = sums.join(of("a"), "a").join(of("b"), "b").withColumn("average", F.col("s") / (F.col("n_a") * F.col("n_b"))).filter(F.col("average") >= cut)
+        near = sums.withColumn("average", F.col("s") / (F.col("n_a") * F.col("n_b"))).filter(F.col("average") >= cut)
         # Equal averages are told apart by a hash, so that many pairs are each other's closest at once.
-        rank = F.struct("average", F.xxhash64("a", "b").alias("h"), "a", "b").alias("rank")
-        closest = near.select("a", "b", rank).select(F.explode(F.array("a", "b")).alias("grp"), "rank").groupBy("grp").agg(F.max("rank").alias("r"))
-        mutual = closest.groupBy("r.a", "r.b").agg(F.count(F.lit(1)).alias("k")).filter("k = 2").select(F.col("a").alias("to"), F.col("b").alias("from"))
-        moved = write_cut(mutual, "merged")
-        if moved.isEmpty():
-            break
-        to = lambda side: moved.select(F.col("from").alias(side), F.col("to").alias(f"to_{side}"))
-        new = sums.join(to("a"), "a", "left").join(to("b"), "b", "left").select(F.coalesce("to_a", "a").alias("x"), F.coalesce("to_b", "b").alias("y"), "s").filter("x <> y")
-        sums = write_cut(new.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.sum("s").alias("s")), "sums")
-        groups = write_cut(groups.join(moved.withColumnRenamed("from", "grp"), "grp", "left").select("name", F.coalesce("to", "grp").alias("grp")), "groups")
-        sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    else:
-        raise RuntimeError(f"linkage did not end in {max_rounds} rounds")
-    return groups
+        rank = F.struct("average", F.xxhash64("a", "b").alias("h"), "a", "b", (F.col("n_a") + F.col("n_b")).alias("n"))
+        closest = near.select(F.explode(F.array("a", "b")).alias("grp"), rank.alias("rank")).groupBy("grp").agg(F.max("rank").alias("r"))
+        mutual = closest.groupBy("r.a", "r.b", "r.n").agg(F.count(F.lit(1)).alias("k")).filter("k = 2")
+        seen = Observation()
+        members = mutual.select(F.explode(F.array("a", "b")).alias("grp"), F.col("a").alias("to"), "n").observe(seen, F.count(F.lit(1)).alias("merged"))
+        moved = write_cut(members, "merged")
+        if not seen.get["merged"]:
+            return groups
+        groups = groups.join(moved.select("grp", "to"), "grp", "left").select("name", F.coalesce("to", "grp").alias("grp"))
+        to = lambda side: moved.select(F.col("grp").alias(side), F.col("to").alias(f"to_{side}"), F.col("n").alias(f"new_{side}"))
+        new = sums.join(to("a"), "a", "left").join(to("b"), "b", "left").select(
+            F.coalesce("to_a", "a").alias("x"), F.coalesce("to_b", "b").alias("y"), F.coalesce("new_a", "n_a").alias("n_x"), F.coalesce("new_b", "n_b").alias("n_y"), "s"
+        ).filter("x <> y")
+        turned = F.col("x") > F.col("y")
+        either = lambda u, v: F.when(turned, F.col(v)).otherwise(F.col(u))
+        sums = write_cut(
+            new.select(either("x", "y").alias("a"), either("y", "x").alias("b"), "s", either("n_x", "n_y").alias("n_a"), either("n_y", "n_x").alias("n_b"))
+            .groupBy("a", "b").agg(F.sum("s").alias("s"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")),
+            "sums",
+        )
+    raise RuntimeError(f"linkage did not end in {max_rounds} rounds")
 
 
 def spellings(columns: list[tuple[DataFrame, str]]) -> DataFrame:

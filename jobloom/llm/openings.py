@@ -64,7 +64,7 @@ def plain_title(title: str, place: str) -> str:
 
 def _delete_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(v, n, k) for v, n in zip(batch["value"], batch["n"], strict=True) for k in deletes(v, min(1, allowed_edits(len(v))))]
+        rows = [(v, n, v[0] + k) for v, n in zip(batch["value"], batch["n"], strict=True) for k in deletes(v[1:], min(1, allowed_edits(len(v) - 1)))]
         yield pd.DataFrame(rows, columns=["value", "n", "key"])
 
 
@@ -76,20 +76,15 @@ def _one_slip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def usual_spellings(values: DataFrame) -> DataFrame:
     """``value, usual``: different texts with the far more frequent text one slip of typing away.
 
-    ``values`` has one column ``value``. Found by a join on symmetric deletes of the
+    ``values`` has one column ``value``, a text after a mark of one letter; texts meet only under one mark. Found by a join on symmetric deletes of the
     different texts; texts without such a neighbour aren't in the result.
     """
-    counted = write_cut(values.filter("value <> ''").groupBy("value").agg(F.count(F.lit(1)).alias("n")), "values")
+    counted = write_cut(values.filter(F.length("value") > 1).groupBy("value").agg(F.count(F.lit(1)).alias("n")), "values")
     keys = counted.mapInPandas(_delete_keys, "value string, n bigint, key string")
     other = keys.select("key", F.col("value").alias("better"), F.col("n").alias("m")).filter(f"m >= {FREQUENT}")
     near = keys.join(other, "key").filter(f"m >= {FREQUENT} * n and value <> better").select("value", "better", "m").distinct()
     sure = near.mapInPandas(_one_slip, "value string, better string, m bigint")
-    return sure.groupBy("value").agg(F.max_by("better", F.struct("m", "better")).alias("usual"))
-
-
-def _usual(rows: DataFrame, column: str, usual: DataFrame) -> DataFrame:
-    to = usual.select(F.col("value").alias(column), F.col("usual").alias("_to"))
-    return rows.join(to, column, "left").withColumn(column, F.coalesce("_to", column)).drop("_to")
+    return write_cut(sure.groupBy("value").agg(F.max_by("better", F.struct("m", "better")).alias("usual")), "usual")
 
 
 def described(rows: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -122,8 +117,13 @@ def described(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     orgs = organisations(texts.select("spelling").distinct())
     joined = texts.join(orgs, "spelling").select("side", "row_id", F.col("organisation").alias("org"), "role_id", "city", "words")
     joined = write_cut(joined, "described")
-    fixed = _usual(joined, "city", usual_spellings(joined.select(F.col("city").alias("value"))))
-    fixed = _usual(fixed, "words", usual_spellings(joined.select(F.col("words").alias("value"))))
+    # Places and words of roles are mended in one go, told apart by a mark.
+    marked = lambda c, mark: F.when(F.col(c) != "", F.concat(F.lit(mark), c)).otherwise("")
+    usual = usual_spellings(joined.select(F.explode(F.array(marked("city", "@"), marked("words", "#"))).alias("value")))
+    fixed = joined
+    for c, mark in (("city", "@"), ("words", "#")):
+        mended = usual.filter(F.col("value").startswith(mark)).select(F.substr("value", F.lit(2)).alias(c), F.substr("usual", F.lit(2)).alias("_to"))
+        fixed = fixed.join(mended, c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
     fixed = fixed.withColumn("role", F.when(F.col("role_id") == 0, F.concat(F.lit("w:"), F.col("words"))).otherwise(F.concat(F.lit("r:"), F.col("role_id"))))
     fixed = write_cut(fixed.filter("role <> 'w:'").select("side", "row_id", "org", "role", "city"), "fixed")
     single = fixed.filter("city = ''").select("org", "role").distinct().withColumn("single", F.lit(True))
