@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,9 @@ VOCABULARY = "byte_bpe_50k.json"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Words encoded by one recursive query.
-WORDS_A_QUERY = 4_000
+WORDS_A_QUERY = 16_000
+#: Bytes of a word that is still contracted by the recursive query; it keeps all rounds, whose number grows with the length.
+BYTES_A_WORD = 400
 #: Different words a task remembers; the memory is emptied when full.
 WORDS_KEPT = 150_000
 #: Characters of text taken up before the words met so far are encoded.
@@ -90,6 +93,7 @@ class WordEncoder:
         import duckdb
 
         self.bytes_to_ids = bytes_to_ids
+        self.rank = {(int(a), int(b)): (int(r), int(m)) for a, b, r, m in merges.tolist()}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         columns = {name: merges[:, i] for i, name in enumerate(("l", "r", "rank", "merged"))}
         self.db.register("m", pd.DataFrame(columns))
@@ -107,17 +111,44 @@ class WordEncoder:
             }
         )
         self.db.register("symbols", symbols)
-        for w, ids in self.db.execute(RECURSION).fetchall():
-            self.known[words[w]] = ids
+        out = self.db.execute(RECURSION).fetchnumpy()
+        for w, ids in zip(out["w"].tolist(), out["ids"], strict=True):
+            self.known[words[w]] = ids.tolist()
         self.db.unregister("symbols")
 
+    def _long(self, word: str) -> list[int]:
+        """The ids of a long word: the same contractions, the next one taken from a queue instead of by a round over the whole word."""
+        ids = self.bytes_to_ids[np.frombuffer(word.encode("utf-8"), dtype=np.uint8)].tolist()
+        before, after = list(range(-1, len(ids) - 1)), list(range(1, len(ids) + 1))
+        queue = [(*self.rank[p], i, *p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank]
+        queue = [(rank, i, merged, l, r) for rank, merged, i, l, r in queue]
+        heapify(queue)
+        while queue:
+            _, i, merged, l, r = heappop(queue)
+            j = after[i]
+            if ids[i] != l or j >= len(ids) or ids[j] != r:
+                continue  # one of the two has gone into another token
+            ids[i], ids[j], after[i] = merged, -1, after[j]
+            if after[j] < len(ids):
+                before[after[j]] = i
+            for a in (before[i], i):
+                if a >= 0 and after[a] < len(ids):
+                    pair = (ids[a], ids[after[a]])
+                    if pair in self.rank:
+                        rank, new = self.rank[pair]
+                        heappush(queue, (rank, a, new, *pair))
+        return [t for t in ids if t >= 0]
+
     def learn(self, words: Iterable[str]) -> None:
-        """Encode the words not yet known; long words share a query with few others, to bound its size."""
+        """Encode the words not yet known, those of like length in one query."""
         new = sorted({w for w in words if w not in self.known}, key=len)
+        while new and len(new[-1]) * 4 > BYTES_A_WORD and len(new[-1].encode("utf-8")) > BYTES_A_WORD:
+            word = new.pop()
+            self.known[word] = self._long(word)
         part: list[str] = []
         size = 0
         for w in new:
-            if part and (len(part) == WORDS_A_QUERY or size + len(w) ** 2 > 40 * WORDS_A_QUERY * 16):
+            if part and (len(part) == WORDS_A_QUERY or size + len(w) ** 2 > 160 * WORDS_A_QUERY):
                 self._query(part)
                 part, size = [], 0
             part.append(w)
@@ -161,3 +192,46 @@ def encode_texts(df: DataFrame, key: str, text: str, vocabulary: str = f"{TOKENI
 
     picked = df.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
     return picked.mapInPandas(encode, f"k {key_type}, ids array<int>").withColumnRenamed("k", key)
+
+
+#: Decoding: each id joined to its bytes, put together in order.
+DECODING = """
+SELECT k, string_agg(bytes, '' ORDER BY pos) AS hex
+FROM (SELECT k, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM coded) JOIN tokens USING (id)
+GROUP BY k
+"""
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> pd.DataFrame:
+    """``id, bytes`` (hexadecimal) of every token of a byte-level vocabulary file."""
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    symbols = byte_symbols()
+    known = {t: i for t, i in vocab.items() if all(c in symbols for c in t)}
+    return pd.DataFrame({"id": list(known.values()), "bytes": [bytes(symbols[c] for c in t).hex() for t in known]})
+
+
+def decode_ids(df: DataFrame, key: str, ids: str, vocabulary: str = f"{TOKENIZERS}/{VOCABULARY}") -> DataFrame:
+    """``key, text``: the text each row's token ids stand for; an empty or null list is the empty text.
+
+    An ordered aggregation in DuckDB within each task; bytes that are no text are replaced.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(token_bytes(vocabulary))
+    key_type = df.schema[key].dataType.simpleString()
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import duckdb
+
+        db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        db.register("t", shared.value)
+        db.execute("CREATE TABLE tokens AS SELECT * FROM t")
+        for batch in batches:
+            for at in range(0, len(batch), 2_000):
+                part = batch.iloc[at : at + 2_000]
+                coded = pd.DataFrame({"k": range(len(part)), "ids": part["ids"].tolist()})  # noqa: F841
+                found = {k: bytes.fromhex(h).decode("utf-8", "replace") for k, h in db.execute(DECODING).fetchall()}
+                yield pd.DataFrame({"k": part["k"].tolist(), "text": [found.get(i, "") for i in range(len(part))]})
+
+    picked = df.select(F.col(key).alias("k"), F.coalesce(ids, F.array().cast("array<int>")).alias("ids"))
+    return picked.mapInPandas(decode, f"k {key_type}, text string").withColumnRenamed("k", key)

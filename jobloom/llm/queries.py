@@ -67,6 +67,13 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_texts(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Every text encoded and decoded again; the SQL reads the texts themselves."""
+    from jobloom.llm.encoding import decode_ids
+
+    return decode_ids(p8_ids(spark, d), "doc_id", "ids")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     from jobloom.llm.leaks import leaked_items
 
@@ -86,7 +93,7 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
+    return {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p7_found": p7_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -103,4 +110,4 @@ def oracle_sql() -> dict[str, str]:
         "FROM (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w, "
         "list_filter(regexp_split_to_array(coalesce(text, ''), '\\r?\\n'), lambda x: length(trim(x)) > 0) AS l FROM documents)"
     )
-    return {"p10_stats": stats}
+    return {"p10_stats": stats, "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
@@ -398,6 +399,23 @@ def test_ids_equal_the_public_library(spark, small):
         assert got[i] == tokenizer.encode(t or "", add_special_tokens=False).ids, i
         assert tokenizer.decode(got[i], skip_special_tokens=False) == (t or "")
     assert encoding.encode_texts(df.limit(0), "doc_id", "text").count() == 0
+    back = {r.doc_id: r.text for r in encoding.decode_ids(encoding.encode_texts(df, "doc_id", "text"), "doc_id", "ids").collect()}
+    assert back == {i: t or "" for i, t in enumerate(docs)}
+
+
+def test_long_words_take_no_quadratic_time():
+    from tokenizers import Tokenizer
+
+    path = f"{encoding.TOKENIZERS}/{encoding.VOCABULARY}"
+    tokenizer, encoder = Tokenizer.from_file(path), encoding.WordEncoder(*encoding.merge_table(path))
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(60_000)), "a" * 50_001, "=" * 30_000, "汉字编码" * 3_000, *("".join(rng.choice("aeiourstln") for _ in range(n)) for n in (90, 120, 399, 401, 700))]
+    began = time.time()
+    encoder.learn(words)
+    assert time.time() - began < 6
+    for w in words:
+        assert encoder.known[w] == tokenizer.encode(w, add_special_tokens=False).ids
+    assert all(encoder._long(w) == encoder.known[w] for w in words[-5:])
 
 
 # ---------------------------------------------------------------- leaks
