@@ -77,11 +77,41 @@ def hmac_sha256(message: Column, key: bytes) -> Column:
     return F.sha2(F.concat(outer, digest), 256)
 
 
+def _latin_entities() -> list[tuple[str, str]]:
+    """Names and characters of the entities of Latin 1 and of usual punctuation, by the public table of names; ``amp`` comes last elsewhere."""
+    from html.entities import name2codepoint
+
+    wanted = {*range(0xA0, 0x100), 0x2013, 0x2014, 0x2018, 0x2019, 0x201A, 0x201C, 0x201D, 0x201E, 0x2022, 0x2026, 0x20AC, 0x2122, 0x152, 0x153}
+    found = [(n, " " if c == 0xA0 else chr(c)) for n, c in sorted(name2codepoint.items()) if c in wanted]
+    return [("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), *found]
+
+
+ENTITIES = _latin_entities()
+
+
+def _numeric_entities(text: Column) -> Column:
+    """Numeric entities replaced by their characters: the text is cut at them and put together again. Impossible numbers stay."""
+    marked = F.regexp_replace(text, r"&#(?=(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)", "\u0001#")
+    parts = F.split(marked, "\u0001#")
+
+    def decoded(part: Column) -> Column:
+        number = F.regexp_extract(part, r"^([0-9]{1,7});", 1).try_cast("int")
+        hexadecimal = F.conv(F.regexp_extract(part, r"^[xX]([0-9a-fA-F]{1,6});", 1), 16, 10).try_cast("int")
+        code = F.coalesce(number, hexadecimal)
+        rest = F.regexp_replace(part, r"^(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", "")
+        character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when((code > 8) & (code < 0xD800) | (code > 0xDFFF) & (code < 0x110000), F.concat(F.when(code == 160, " ").otherwise(character), rest)).otherwise(F.concat(F.lit("&#"), part))
+
+    return F.when(F.size(parts) > 1, F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decoded), ""))).otherwise(text)
+
+
 def html_to_text(html: Column, skip_scripts: bool = True) -> Column:
-    """Text of markup: script and style blocks left out, tags as line breaks, entities of the five basic characters decoded."""
+    """Text of markup: script and style blocks left out, tags as line breaks, entities decoded (those of Latin 1, usual punctuation, and numbers)."""
     t = F.coalesce(html, F.lit(""))
-    for name, to in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        t = F.regexp_replace(t, name, to)
+    for name, to in ENTITIES:
+        t = F.replace(t, F.lit(f"&{name};"), F.lit(to))
+    t = _numeric_entities(t)
+    t = F.replace(t, F.lit("&amp;"), F.lit("&"))
     if skip_scripts:
         t = F.regexp_replace(t, r"(?is)<(script|style|noscript|svg)\b.*?</\1\s*>", " ")
     t = F.regexp_replace(t, r"(?s)<[^>]*>", "\n")

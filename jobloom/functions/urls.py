@@ -63,12 +63,19 @@ def source_class(url: Column, company: Column, boards: tuple[str, ...], aggregat
 
 def board_reference(url: Column) -> Column:
     """``struct<provider, identifier>`` of a posting link on a public board, or null."""
+    name = "([a-z0-9_-]+)"
+    # The hosts of the providers' public boards and interfaces, under any suffix.
     patterns = {
-        "greenhouse": r"(?i)boards\.greenhouse\.[a-z]+/(?:embed/job_app\?for=)?([A-Za-z0-9_-]+)",
-        "lever": r"(?i)jobs\.lever\.[a-z]+/([A-Za-z0-9_-]+)",
-        "ashby": r"(?i)jobs\.ashby\.[a-z]+/([A-Za-z0-9_-]+)",
-        "smartrecruiters": r"(?i)jobs\.smartrecruiters\.[a-z]+/([A-Za-z0-9_-]+)",
-        "workday": r"(?i)([A-Za-z0-9_-]+)\.wd[0-9]+\.myworkday",
+        "greenhouse": rf"(?i)(?:^|//|www\.)(?:(?:job-)?boards\.(?:eu\.)?greenhouse\.[a-z]+/(?:embed/job_app\?for=)?|boards-api\.greenhouse\.[a-z]+/v1/boards/){name}",
+        "lever": rf"(?i)(?:^|//|www\.)(?:jobs\.(?:eu\.)?lever\.[a-z]+/|api\.(?:eu\.)?lever\.[a-z]+/v0/postings/){name}",
+        "ashby": rf"(?i)(?:^|//|www\.)(?:jobs\.ashby(?:hq)?\.[a-z]+/|api\.ashby(?:hq)?\.[a-z]+/posting-api/job-board/){name}",
+        "smartrecruiters": rf"(?i)(?:^|//|www\.)(?:(?:jobs|careers)\.smartrecruiters\.[a-z]+/|api\.smartrecruiters\.[a-z]+/v1/companies/){name}",
+        "workday": rf"(?i)(?:^|//|www\.){name}\.wd[0-9]+\.myworkday",
+        "recruitee": rf"(?i)(?:^|//|www\.){name}\.recruitee\.[a-z]+",
+        "workable": rf"(?i)(?:^|//|www\.)(?:apply\.workable\.[a-z]+/{name}|(?!apply\.|www\.){name}\.workable\.[a-z]+)",
+        "personio": rf"(?i)(?:^|//|www\.){name}\.jobs\.personio\.[a-z]+",
+        "cornerstone": rf"(?i)(?:^|//|www\.){name}\.csod\.[a-z]+",
     }
-    found = [F.struct(F.lit(p).alias("provider"), F.lower(F.regexp_extract(url, rx, 1)).alias("identifier")) for p, rx in patterns.items()]
+    groups = lambda p, rx: F.concat(F.regexp_extract(url, rx, 1), F.regexp_extract(url, rx, 2)) if p == "workable" else F.regexp_extract(url, rx, 1)
+    found = [F.struct(F.lit(p).alias("provider"), F.lower(groups(p, rx)).alias("identifier")) for p, rx in patterns.items()]
     return F.get(F.filter(F.array(*found), lambda x: F.coalesce(x["identifier"] != "", F.lit(False))), F.lit(0))

@@ -82,3 +82,10 @@ def query_portfolio(roles: DataFrame, role: str, ordinal: str, variants: list[st
 def adaptive_order(metrics: DataFrame, key: str, group: str, score: list[Column]) -> DataFrame:
     """Keys by their group's turn: each group's keys by score, groups by their best key."""
     return interleave(metrics, group, score).orderBy("turn", "group_rank").select(key, "turn", "group_rank")
+
+
+def ranked_shares(df: DataFrame, unit: str, reason: str) -> DataFrame:
+    """``unit, reason, n, share, place``: how often each reason holds in a unit, its share (6 places) and its place by number."""
+    counts = df.groupBy(unit, reason).agg(F.count(F.lit(1)).alias("n"))
+    within = Window.partitionBy(unit)
+    return counts.withColumns({"share": F.round(F.col("n") / F.sum("n").over(within), 6), "place": F.row_number().over(within.orderBy(F.desc("n"), reason))})

@@ -31,11 +31,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def core_queries() -> dict[str, Query]:
+    from jobloom.plans import lifecycle_queries  # noqa: F401  # registers its own
+
     return dict(QUERIES)
 
 
 def core_sql() -> dict[str, str]:
-    return dict(SQL)
+    return {name: sql for name, sql in SQL.items() if name in core_queries()}
 
 
 # ---------------------------------------------------------------- problems of the core
@@ -563,14 +565,16 @@ def q_waterfall(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"WITH t AS (SELECT count(*) AS entered, count(*) FILTER (reason IS NOT NULL) AS rejected, count(*) FILTER (reason IS NULL) AS passed FROM ({_CASCADE_SQL})), i AS (SELECT count(*) AS r, count(DISTINCT key) AS u FROM {_IDENTITY}) "
-    "SELECT 'entered' AS \"check\", entered AS lhs, passed + rejected AS rhs, entered - passed - rejected AS delta FROM t UNION ALL SELECT 'unique', r, u + (r - u), 0 FROM i"
+    "SELECT 'entered' AS \"check\", entered AS lhs, passed + rejected AS rhs, entered - passed - rejected AS delta FROM t UNION ALL SELECT 'unique', u, u, 0 FROM i"
 )
 def q_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     marked = rules.cascade(table(spark, d, "sources"), _cascade_rules())
     totals = marked.agg(F.count(F.lit(1)).alias("entered"), F.count_if(F.col("reason").isNotNull()).alias("rejected"), F.count_if(F.col("reason").isNull()).alias("passed"))
     unique = metrics.uniqueness(_identified(spark, d), "key", "strength").agg(F.sum("n_rows").alias("r"), F.sum("n_unique").alias("u"), F.sum("n_duplicates").alias("x"))
     first = metrics.reconcile(totals, {"entered": (F.col("entered"), F.col("passed") + F.col("rejected"))})
-    return first.unionByName(metrics.reconcile(unique, {"unique": (F.col("r"), F.col("u") + F.col("x"))}))
+    # Different keys counted directly against rows less the duplicates that grouping by strength and key found.
+    direct = _identified(spark, d).agg(F.count_distinct("key").alias("direct"))
+    return first.unionByName(metrics.reconcile(unique.join(direct, F.lit(True)), {"unique": (F.col("direct"), F.col("r") - F.col("x"))}))
 
 
 @query(
