@@ -14,6 +14,7 @@ new representatives.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,12 +24,16 @@ from pyspark.sql import functions as F
 from jobloom.functions.instants import trimmed
 from jobloom.functions.links import canonical_page, posting_id, provider_number
 from jobloom.operators.components import min_labels
-from jobloom.plans.shared import write_cut
+from jobloom.plans.shared import fresh_path, write_cut
 
 #: Comparisons the score is made of, each 0 to 1.
 FEATURES = ("same_page", "same_number", "same_title", "same_company", "same_place")
 #: Pairs of either kind that the weights are learned from, at most.
 TRAINING_PAIRS = 2_000
+#: Buckets of the stored key table: a batch reads those its own keys fall into.
+BUCKETS = 256
+#: Versions of the representative table before they are written as one.
+COMPACTED = 8
 
 
 def folded(text: Column) -> Column:
@@ -71,12 +76,35 @@ def learn_weights(pairs: np.ndarray, labels: np.ndarray, steps: int = 25) -> np.
 
 @dataclass
 class RecordLinkage:
-    """State of an incremental linkage; ``ingest`` takes batches in order of arrival."""
+    """State of an incremental linkage; ``ingest`` takes batches in order of arrival.
+
+    ``load`` takes the state up where ``save`` left it, in this or a later session:
+    the key table in buckets of the keys' hash, one partition of the table each, the
+    representatives, and the weights. A batch reads the buckets its keys fall into
+    and appends its new keys; what is stored is never written again but for the
+    representatives, which are written as one after COMPACTED versions.
+    """
 
     spark: SparkSession
-    keys: DataFrame | None = None
-    versions: list[DataFrame] = field(default_factory=list)
+    path: str = ""
+    versions: list[str] = field(default_factory=list)
     weights: np.ndarray | None = None
+    batches: int = 0
+
+    def __post_init__(self) -> None:
+        self.path = self.path or fresh_path(self.spark, "linkage")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> RecordLinkage:
+        """The linkage saved at ``path``."""
+        kept = json.loads(spark.read.text(f"{path}/state").first()[0])
+        return cls(spark, path, kept["versions"], np.array(kept["weights"]) if kept["weights"] else None, kept["batches"])
+
+    def save(self) -> str:
+        """Write down what isn't stored as tables yet; returns the path for ``load``."""
+        kept = {"versions": self.versions, "weights": None if self.weights is None else self.weights.tolist(), "batches": self.batches}
+        self.spark.createDataFrame([(json.dumps(kept),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/state")
+        return self.path
 
     def ingest(self, batch: DataFrame) -> None:
         """Take in one batch of ``records``; empty batches change nothing."""
@@ -84,22 +112,38 @@ class RecordLinkage:
         # The first row of the batch with each key: a partial minimum, so a key that holds
         # a third of the rows sends one value per task.
         first = F.min(F.struct("node", "title", "company", "place")).alias("f")
-        firsts = own.groupBy("key").agg(first)
-        if self.keys is None:
-            anchors = write_cut(firsts.select("key", "f.*"), "keys")
-            known = anchors
+        bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")
+        firsts = own.groupBy("key").agg(first).withColumn("bucket", bucket)
+        number = self.batches
+        if number == 0:
+            fresh = firsts.select("key", "f.*", "bucket")
+            self._append_keys(fresh, number)
+            anchors = self._keys(None)
         else:
-            history = self.keys.select("key", F.struct("node", "title", "company", "place").alias("h"))
-            probed = firsts.join(history, "key", "left")
-            anchors = write_cut(probed.select("key", F.coalesce("h", "f").alias("f"), F.col("h").isNull().alias("new")).select("key", "f.*", "new"), "probe")
-            known = anchors.filter("new").drop("new")
-            anchors = anchors.drop("new")
+            touched = sorted(r["bucket"] for r in own.select(bucket.alias("bucket")).distinct().collect())  # BUCKETS values at most
+            history = self._keys(touched).select("key", "bucket", F.struct("node", "title", "company", "place").alias("h"))
+            probed = firsts.join(history, ["bucket", "key"], "left")
+            anchors = write_cut(probed.select("key", "bucket", F.coalesce("h", "f").alias("f"), F.col("h").isNull().alias("new")).select("key", "f.*", "bucket", "new"), "probe")
+            self._append_keys(anchors.filter("new").drop("new"), number)
+        self.batches += 1
         candidates = self._candidates(own, anchors)
         if self.weights is None:
             self.weights = self._learned(batch, candidates)
         linked = candidates.filter(self._score(candidates) >= 0).select(F.col("node").alias("a"), F.col("first").alias("b"))
         self._join(linked)
-        self.keys = known if self.keys is None else self.keys.unionByName(known)
+
+    _KEYS = "key string, node bigint, title string, company string, place string"
+
+    def _append_keys(self, fresh: DataFrame, number: int) -> None:
+        """New keys, sorted into their buckets so that each bucket gets few files; a batch that comes again overwrites its own."""
+        ordered = fresh.repartition("bucket").sortWithinPartitions("bucket", "key")
+        ordered.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/keys/batch={number}")
+
+    def _keys(self, buckets: list[int] | None) -> DataFrame:
+        """The stored keys of these buckets (None: of all); other buckets' files aren't listed in the scan."""
+        every = self.spark.read.schema(f"{self._KEYS}, batch int, bucket int").parquet(f"{self.path}/keys")
+        known = every.filter(F.col("batch") < self.batches) if buckets is not None else every
+        return known if buckets is None or len(buckets) == BUCKETS else known.filter(F.col("bucket").isin(buckets))
 
     def _candidates(self, own: DataFrame, anchors: DataFrame) -> DataFrame:
         """``node, first`` pairs with their comparisons, each pair once."""
@@ -117,7 +161,11 @@ class RecordLinkage:
         return write_cut(pairs, "candidates")
 
     def _learned(self, batch: DataFrame, candidates: DataFrame) -> np.ndarray:
-        """Weights from at most TRAINING_PAIRS pairs that share a key and as many that share company or title only."""
+        """Weights from at most TRAINING_PAIRS pairs that share a key and as many that share company or title only.
+
+        Rows of one id or page bring one posting whatever else differs, so each of
+        the two must be enough alone, and all the rest together not.
+        """
         shared = candidates.orderBy(F.xxhash64("node", "first")).limit(TRAINING_PAIRS).select(*FEATURES).toPandas()
         sample = batch.select("node", "title", "company", "place", "keys").orderBy(F.xxhash64("node")).limit(TRAINING_PAIRS).toPandas()
         apart = []
@@ -127,7 +175,6 @@ class RecordLinkage:
                 for a, b in zip(rows, rows[1:], strict=False):
                     if not set(a["keys"]) & set(b["keys"]) and len(apart) < TRAINING_PAIRS:
                         apart.append([0.0, 0.0, *(float(a[f] == b[f] and bool(a[f])) for f in ("title", "company", "place"))])
-        # Each key alone is enough for the same posting; two rows without a key are not, whatever else agrees.
         apart += [[0.0, 0.0, 1.0, 1.0, 1.0]] * 20 + [[0.0] * 5] * 20
         alone = [[1.0, 0.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0, 0.0]] * 20
         x = np.array(shared.to_numpy().tolist() + alone + apart)
@@ -155,16 +202,23 @@ class RecordLinkage:
             # Members of clusters whose representative moved follow it; no other row of the history is touched.
             follow = reps.join(moved.select(F.col("node").alias("rep"), F.col("label").alias("to")), "rep").select("node", F.col("to").alias("rep"))
             changed = moved.select("node", F.col("label").alias("rep")).unionByName(follow)
-        version = len(self.versions)
-        self.versions.append(write_cut(changed.withColumn("version", F.lit(version)), "reps"))
+        self._write_version(changed.select("node", "rep"))
+        if len(self.versions) > COMPACTED:
+            whole = self.representatives()
+            assert whole is not None
+            self._write_version(whole, whole=True)
+
+    def _write_version(self, changed: DataFrame, whole: bool = False) -> None:
+        number = int(self.versions[-1].rsplit("-", 1)[1]) + 1 if self.versions else 0
+        path = f"{self.path}/reps-{number}"
+        changed.withColumn("version", F.lit(number)).write.mode("overwrite").parquet(path)
+        self.versions = [path] if whole else [*self.versions, path]
 
     def representatives(self) -> DataFrame | None:
         """``node, rep`` of every row that isn't its posting's first; None before the first batch."""
         if not self.versions:
             return None
-        every = self.versions[0]
-        for more in self.versions[1:]:
-            every = every.unionByName(more)
+        every = self.spark.read.schema("node bigint, rep bigint, version int").parquet(*self.versions)
         if len(self.versions) == 1:
             return every.select("node", "rep")
         return every.groupBy("node").agg(F.max_by("rep", "version").alias("rep"))
@@ -186,6 +240,8 @@ def link_batches(rows: DataFrame, spark: SparkSession, batch: str, single_batche
     cut = top - single_batches
     linkage.ingest(rows.filter(number <= cut))
     for n in range(cut + 1, top + 1):
+        # Each new batch finds the state as an earlier session stored it.
+        linkage = RecordLinkage.load(spark, linkage.save())
         linkage.ingest(rows.filter(number == n))
     return linkage.representatives().select(F.col("rep").alias("row_id_a"), F.col("node").alias("row_id_b"))
 

@@ -260,6 +260,28 @@ def test_batches_join_old_clusters(spark):
     assert incremental.link_batches(incremental.source_records(df.limit(0)), spark, "batch").count() == 0
 
 
+def test_state_is_stored_and_taken_up_again(spark, monkeypatch):
+    rows = [(n, str(n % 17), f"https://a.example/jobs/{50000 + n % 23}" if n % 5 else None, n // 20) for n in range(120)]
+    df = spark.createDataFrame(rows, "row_id bigint, id string, url string, batch_id int").withColumns({c: F.lit(c) for c in ("position", "company", "location")})
+    made = incremental.source_records(df).cache()
+    whole = incremental.RecordLinkage(spark)
+    whole.ingest(made)
+    want = {tuple(r) for r in whole.representatives().collect()}
+    monkeypatch.setattr(incremental, "COMPACTED", 2)
+    linkage = incremental.RecordLinkage(spark)
+    read_buckets = []
+    keys = incremental.RecordLinkage._keys
+    monkeypatch.setattr(incremental.RecordLinkage, "_keys", lambda self, buckets: (read_buckets.append(buckets), keys(self, buckets))[1])
+    for n in range(6):
+        linkage.ingest(made.filter(F.col("batch") == n))
+        linkage = incremental.RecordLinkage.load(spark, linkage.save())
+    assert {tuple(r) for r in linkage.representatives().collect()} == want and want
+    assert len(linkage.versions) <= 3 and linkage.batches == 6
+    assert read_buckets[0] is None and all(0 < len(b) < incremental.BUCKETS for b in read_buckets[1:])
+    linkage.ingest(made.filter("batch = 99"))
+    assert {tuple(r) for r in linkage.representatives().collect()} == want
+
+
 def test_each_key_alone_is_enough():
     x = np.array([[1, 0, 0, 0, 0], [0, 1, 0, 0, 0], [0, 1, 1, 1, 1], [0, 0, 1, 1, 1], [0, 0, 0, 0, 0]] * 30, dtype=float)
     y = np.array([1, 1, 1, 0, 0] * 30, dtype=float)
