@@ -30,8 +30,8 @@ from jobloom.plans.shared import fresh_path, write_cut
 FEATURES = ("same_page", "same_number", "same_title", "same_company", "same_place")
 #: Pairs of either kind that the weights are learned from, at most.
 TRAINING_PAIRS = 2_000
-#: Buckets of the stored key table: a batch reads those its own keys fall into.
-BUCKETS = 256
+#: Buckets of the stored key table, unless the linkage is given another number: a batch reads those its own keys fall into.
+BUCKETS = 48
 #: Versions of the representative table before they are written as one.
 COMPACTED = 8
 
@@ -90,6 +90,7 @@ class RecordLinkage:
     versions: list[str] = field(default_factory=list)
     weights: np.ndarray | None = None
     batches: int = 0
+    buckets: int = BUCKETS  # about the size of the key table by that of a file
 
     def __post_init__(self) -> None:
         self.path = self.path or fresh_path(self.spark, "linkage")
@@ -98,11 +99,11 @@ class RecordLinkage:
     def load(cls, spark: SparkSession, path: str) -> RecordLinkage:
         """The linkage saved at ``path``."""
         kept = json.loads(spark.read.text(f"{path}/state").first()[0])
-        return cls(spark, path, kept["versions"], np.array(kept["weights"]) if kept["weights"] else None, kept["batches"])
+        return cls(spark, path, kept["versions"], np.array(kept["weights"]) if kept["weights"] else None, kept["batches"], kept["buckets"])
 
     def save(self) -> str:
         """Write down what isn't stored as tables yet; returns the path for ``load``."""
-        kept = {"versions": self.versions, "weights": None if self.weights is None else self.weights.tolist(), "batches": self.batches}
+        kept = {"versions": self.versions, "weights": None if self.weights is None else self.weights.tolist(), "batches": self.batches, "buckets": self.buckets}
         self.spark.createDataFrame([(json.dumps(kept),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/state")
         return self.path
 
@@ -112,7 +113,7 @@ class RecordLinkage:
         # The first row of the batch with each key: a partial minimum, so a key that holds
         # a third of the rows sends one value per task.
         first = F.min(F.struct("node", "title", "company", "place")).alias("f")
-        bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")
+        bucket = F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")
         firsts = own.groupBy("key").agg(first).withColumn("bucket", bucket)
         number = self.batches
         if number == 0:
@@ -120,7 +121,7 @@ class RecordLinkage:
             self._append_keys(fresh, number)
             anchors = self._keys(None)
         else:
-            touched = sorted(r["bucket"] for r in own.select(bucket.alias("bucket")).distinct().collect())  # BUCKETS values at most
+            touched = sorted(r["bucket"] for r in own.select(bucket.alias("bucket")).distinct().collect())  # as many values as buckets at most
             history = self._keys(touched).select("key", "bucket", F.struct("node", "title", "company", "place").alias("h"))
             probed = firsts.join(history, ["bucket", "key"], "left")
             anchors = write_cut(probed.select("key", "bucket", F.coalesce("h", "f").alias("f"), F.col("h").isNull().alias("new")).select("key", "f.*", "bucket", "new"), "probe")
@@ -143,7 +144,7 @@ class RecordLinkage:
         """The stored keys of these buckets (None: of all); other buckets' files aren't listed in the scan."""
         every = self.spark.read.schema(f"{self._KEYS}, batch int, bucket int").parquet(f"{self.path}/keys")
         known = every.filter(F.col("batch") < self.batches) if buckets is not None else every
-        return known if buckets is None or len(buckets) == BUCKETS else known.filter(F.col("bucket").isin(buckets))
+        return known if buckets is None or len(buckets) == self.buckets else known.filter(F.col("bucket").isin(buckets))
 
     def _candidates(self, own: DataFrame, anchors: DataFrame) -> DataFrame:
         """``node, first`` pairs with their comparisons, each pair once."""
