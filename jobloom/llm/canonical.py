@@ -214,7 +214,7 @@ def reference_entries(catalog: DataFrame, exact_counts: DataFrame) -> list[list[
 def reference(rows: DataFrame, value: str, catalog: DataFrame) -> tuple[list[list[tuple[int, tuple[str, ...], int]]], set[str]]:
     """(blocks of reference entries, all words of the list); frequencies are how often entries stand, exactly typed, in ``value``."""
     names = catalog.select("role_id", F.lower("canonical_title").alias("v"))
-    exact = rows.groupBy(F.lower(F.trim(value)).alias("v")).count().join(names, "v").groupBy("role_id").agg(F.sum("count").alias("n"))
+    exact = rows.select(F.lower(F.trim(value)).alias("v")).join(names, "v").groupBy("role_id").agg(F.count(F.lit(1)).alias("n"))
     blocks = reference_entries(catalog, exact) or [[]]
     return blocks, {w for b in blocks for _, words, _ in b for w in words}
 

@@ -94,8 +94,8 @@ def described(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     "*" in all rows of an organisation's role once one of them has no city: then
     the organisation has only that opening for the role.
     """
-    rows = rows.filter(F.col("title").rlike(r"[^\s\p{Z}]") & F.col("company").rlike(r"[^\s\p{Z}]"))
     blocks, vocabulary = reference(rows, "title", catalog)
+    rows = rows.filter(F.col("title").rlike(r"[^\s\p{Z}]") & F.col("company").rlike(r"[^\s\p{Z}]"))
 
     def attributes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mapper = Mapper(blocks, vocabulary)
@@ -186,7 +186,7 @@ class Index:
         return F.log1p((F.lit(float(self.n)) - df + 0.5) / (df + 0.5))
 
     def weighted(self, queries: DataFrame) -> DataFrame:
-        """``q, org, role, city`` with the weight of each term and ``whole``, what the record scores against itself.
+        """``q, org, role, city`` with the weight of each term, ``whole``, what the record scores against itself, and which lists it reads.
 
         A piece of a place, and again a word of the organisation, is taken together with
         organisation and role, a word of a role together with organisation and place;
@@ -205,7 +205,12 @@ class Index:
         out = out.withColumns({"w_c": F.when(placed, F.col("w_c")).otherwise(0.0), "w_oc": F.when(placed, F.col("w_oc")).otherwise(0.0)})
         together = F.col("w_or") * (F.size(place_grams(F.col("city"))) + F.size("w_n") + 1) + F.col("w_oc") * (F.size(title_words(F.col("role"))) + 1)
         whole = (F.col("w_o") + sum_n + F.col("w_r") + F.col("w_c") + together) * self._share(terms(F.col("org"), F.col("role"), F.col("city")))
-        return out.withColumn("whole", whole).withColumn("q", F.concat_ws("\t", "org", "role", "city"))
+        out = out.withColumn("whole", whole).withColumn("q", F.concat_ws("\t", "org", "role", "city"))
+        # What records of a list can reach at most, if the attributes it doesn't stand for differ.
+        top = self._share(F.lit(self.shortest)) / (F.col("whole") * LEAST)
+        of_place = F.col("w_o") + sum_n + F.col("w_c") + F.col("w_oc") * (F.size(title_words(F.col("role"))) + 1)
+        of_word = F.greatest(F.col("w_o") + sum_n, sum_n + F.col("w_r"), sum_n + F.col("w_c"))
+        return out.withColumns({"by_place": of_place * top >= 1, "by_words": (sum_n + F.col("w_r") + F.col("w_c")) * top >= 1, "by_word": of_word * top >= 1})
 
     def candidates(self, queries: DataFrame) -> DataFrame:
         """``q, d``: every record that can score LEAST of a query's whole.
@@ -215,25 +220,20 @@ class Index:
         by the weights of those terms in the shortest record. Mostly that leaves the
         list of organisation and role, which is short.
         """
-        sum_n = F.aggregate("w_n", F.lit(0.0), lambda s, x: s + x["w"])
-        top = self._share(F.lit(self.shortest)) / (F.col("whole") * LEAST)
-        of_place = F.col("w_o") + sum_n + F.col("w_c") + F.col("w_oc") * (F.size(title_words(F.col("role"))) + 1)
-        bounded = queries.select(
-            "q", "org", "role", "city",
-            (of_place * top >= 1).alias("by_place"),
-            ((sum_n + F.col("w_r") + F.col("w_c")) * top >= 1).alias("by_words"),
-            (F.greatest(F.col("w_o") + sum_n, sum_n + F.col("w_r"), sum_n + F.col("w_c")) * top >= 1).alias("by_word"),
-        )
+        bounded = queries.select("q", "org", "role", "city", "by_place", "by_words", "by_word")
+        asked = bounded.agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("by_place", "by_words", "by_word")]).first()
         d = self.records.withColumn("d", F.concat_ws("\t", "org", "role", "city"))
         split = lambda df, *keys: df.withColumn("word", F.explode(org_words(F.col("org")))).select("word", *keys)
         placed = bounded.filter("city <> '*'")
-        met = [
-            bounded.select("org", "role", "q").join(d.select("org", "role", "d"), ["org", "role"]),
-            placed.filter("by_place").select("org", "city", "q").join(d.select("org", "city", "d"), ["org", "city"]),
-            split(placed.filter("by_words"), "role", "city", "q").join(split(d, "role", "city", "d"), ["word", "role", "city"]),
-            placed.filter("by_words").select("role", "city", "q").join(d.select("role", "city", "d"), ["role", "city"]),
-            split(bounded.filter("by_word"), "q").join(split(d, "d"), "word"),
-        ]
+        met = [bounded.select("org", "role", "q").join(d.select("org", "role", "d"), ["org", "role"])]
+        # Lists nobody reads aren't made.
+        if asked["by_place"]:
+            met.append(placed.filter("by_place").select("org", "city", "q").join(d.select("org", "city", "d"), ["org", "city"]))
+        if asked["by_words"]:
+            met.append(split(placed.filter("by_words"), "role", "city", "q").join(split(d, "role", "city", "d"), ["word", "role", "city"]))
+            met.append(placed.filter("by_words").select("role", "city", "q").join(d.select("role", "city", "d"), ["role", "city"]))
+        if asked["by_word"]:
+            met.append(split(bounded.filter("by_word"), "q").join(split(d, "d"), "word"))
         every = met[0].select("q", "d")
         for more in met[1:]:
             every = every.unionAll(more.select("q", "d"))
