@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 KINDS = ("prose", "list", "table", "junk")
 #: Documents the trees are trained on, at most; chosen by a hash of their id.
 TRAINING_DOCUMENTS = 3_000
+#: Texts mixed of two kinds the trees are trained on.
+MIXTURES = 1_600
 #: Characters a document of the training sample has at most, so that the sample's size is bounded.
 TRAINING_LENGTH = 20_000
 
@@ -149,8 +151,8 @@ def line_kind(line: str, words: list[str], common: float, sentences: bool, again
     return "short" if not sentences and (len(words) <= 5 or again and len(words) <= 8) else "prose"
 
 
-def shape(text: str) -> np.ndarray:
-    """Statistics of a whole text, as the trees see them."""
+def kind_shares(text: str) -> dict[str, float]:
+    """Shares of a text's characters by ``line_kind``, with tables and runs of entries told by neighbours; for weak labels only."""
     clean = html.unescape(text) if "&" in text else text
     if "<" in clean:
         clean = _TAG.sub("\n", clean)
@@ -158,8 +160,7 @@ def shape(text: str) -> np.ndarray:
     words_of = [_WORD.findall(x) for x in lines]
     words = [w for ws in words_of for w in ws]
     low = [w.lower() for w in words]
-    joined = "".join(low)
-    n, letters = max(1, len(words)), max(1, len(joined))
+    n = max(1, len(words))
     stops = len(_STOP.findall(clean))
     sentences = stops > 0.015 * n or len(lines) < 4
     chars = {"prose": 0, "list": 0, "table": 0, "junk": 0, "short": 0, "other": 0}
@@ -169,7 +170,6 @@ def shape(text: str) -> np.ndarray:
         common = sum(w.lower() in COMMON for w in ws) / max(1, len(ws))
         kind = line_kind(line.strip(), ws, common, sentences, entries[tuple(ws)] > 1)
         info.append((kind, _cells(line) if kind != "prose" or common < 0.2 else ("", 1), len(ws)))
-    ended = 0
     for i, line in enumerate(lines):
         kind, (delimiter, cells), n_words = info[i]
         near = [info[j][1] for j in (i - 1, i + 1) if 0 <= j < len(lines)]
@@ -181,7 +181,6 @@ def shape(text: str) -> np.ndarray:
         if "<t" in line and _CELLS_TAG.search(line):
             kind = "table"
         chars[kind] += len(line.strip())
-        ended += line.rstrip()[-1:] in ".!?"
     # Unmarked short lines in a row are entries where the text has no sentences; alone they are headings.
     run = sum(len(lines[i].strip()) for i in range(len(lines)) if info[i][0] == "short" and sum(info[j][0] == "short" for j in (i - 1, i + 1) if 0 <= j < len(lines)))
     run = min(run, chars["short"])
@@ -193,38 +192,93 @@ def shape(text: str) -> np.ndarray:
     if len(text) > 30 and visible < 0.15 * len(text):
         chars = dict.fromkeys(chars, 0) | {"junk": len(text)}
     total = max(1, sum(chars.values()))
-    tokens = _TOKEN.findall(clean)
-    solid = max(1, sum(map(len, tokens)))
+    return {k: n / total for k, n in chars.items()} | {"common": sum(w in COMMON for w in low) / n}
+
+
+#: What is counted of a line, as shares of all characters.
+LINE_STATISTICS = 14
+
+
+def shape(text: str) -> np.ndarray:
+    """Statistics of a whole text, as the trees see them: plain counts, and shares of the characters in lines with a plain property."""
+    clean = html.unescape(text) if "&" in text else text
+    if "<" in clean:
+        clean = _TAG.sub("\n", clean)
+    lines = [x.strip() for x in clean.split("\n") if x.strip(_BLANK)]
+    cells = [_cells(x) for x in lines]
+    sums = np.zeros(LINE_STATISTICS)
+    total = letters_all = words_all = common_all = vowels_all = 0
+    different: set[str] = set()
+    for i, line in enumerate(lines):
+        words = [w.lower() for w in _WORD.findall(line)]
+        tokens = line.split()
+        size, n = len(line), len(words)
+        letters = sum(map(len, words))
+        common = sum(map(COMMON.__contains__, words))
+        vowels = _vowels("".join(words))
+        delimiter, k = cells[i]
+        near = k > 1 and any(d == delimiter and abs(c - k) <= (k > 2) for d, c in cells[max(0, i - 1) : i] + cells[i + 1 : i + 2])
+        separators = max(line.count(" / "), line.count(" | "), line.count(" • "), line.count(" · "), line.count("; "), line.count(", "))
+        marked = bool(_MARKER.match(line))
+        values = (
+            marked,
+            line[-1] in ".!?",
+            n >= 8 and common >= 0.15 * n,
+            common >= 0.15 * n and n >= 5,
+            n <= 5,
+            near and n <= 5 * k,
+            letters < 0.35 * size,
+            n >= 6 and len(set(words)) <= max(2, 0.2 * n),
+            n >= 6 and letters and vowels < 0.2 * letters,
+            size > 30 and size > 25 * len(tokens),
+            separators >= 3 and n <= 4.5 * (separators + 1),
+            marked and n <= 10 and line[-1] not in ".!?",
+            common < 0.1 * n or not n,
+            "<t" in line and bool(_CELLS_TAG.search(line)),
+        )
+        sums += np.array(values, dtype=np.float64) * size
+        total += size
+        letters_all, words_all, common_all, vowels_all = letters_all + letters, words_all + n, common_all + common, vowels_all + vowels
+        different.update(words)
+    tokens = clean.split()
+    solid, n = max(1, sum(map(len, tokens))), max(1, words_all)
+    escapes = sum(map(len, _ESCAPE.findall(text))) if "%" in text or "\\u" in text or "&#" in text else 0
+    broken = 0 if clean.isascii() else 2 * len(_MOJIBAKE.findall(clean))
+    stops = len(_STOP.findall(clean))
     return np.array(
         [
-            *(chars[k] / total for k in ("prose", "list", "table", "junk", "short", "other")),
-            run / total,
-            sum(w in COMMON for w in low) / n,
-            letters / solid,
+            *(sums / max(1, total)),
+            common_all / n,
+            letters_all / solid,
             sum(map(clean.count, "0123456789")) / solid,
-            len(set(low)) / n,
-            letters / n,
-            _vowels(joined) / letters,
-            ended / max(1, len(lines)),
+            len(different) / n,
+            letters_all / n,
+            vowels_all / max(1, letters_all),
             min(200.0, total / max(1, len(lines))),
             sum(map(len, (m.group(0) for m in _RUN.finditer(clean)))) / solid,
             min(60.0, solid / max(1, len(tokens))),
             stops / n,
+            escapes / max(1, len(text)),
+            broken / solid,
+            min(1.0, total / max(1, len(text))),
+            sum(len(t) == 2 for t in tokens) / max(1, len(tokens)),
+            stops / max(1, len(lines)),
+            float(len(lines) < 4),
         ],
         dtype=np.float64,
     )
 
 
-def weak_label(x: np.ndarray) -> int:
+def weak_label(text: str) -> int:
     """The kind of a document whose layout alone gives it away, else -1."""
-    prose, listed, table, junk = x[:4]
-    if prose >= 0.8 and x[7] >= 0.15:
+    x = kind_shares(text)
+    if x["prose"] >= 0.8 and x["common"] >= 0.15:
         return 0
-    if listed >= 0.85 and table < 0.1 and junk < 0.1:
+    if x["list"] >= 0.85 and x["table"] < 0.1 and x["junk"] < 0.1:
         return 1
-    if table >= 0.8:
+    if x["table"] >= 0.8:
         return 2
-    if junk >= 0.8:
+    if x["junk"] >= 0.8:
         return 3
     return -1
 
@@ -235,7 +289,7 @@ def weak_label(x: np.ndarray) -> int:
 class Boosted:
     """Gradient-boosted trees with a softmax over KINDS, on binned features."""
 
-    def __init__(self, rounds: int = 25, depth: int = 3, rate: float = 0.3, bins: int = 24) -> None:
+    def __init__(self, rounds: int = 40, depth: int = 4, rate: float = 0.25, bins: int = 32) -> None:
         self.rounds, self.depth, self.rate, self.bins = rounds, depth, rate, bins
         self.trees: list[list[list[tuple]]] = []
         self.temperature = 1.0
@@ -367,15 +421,14 @@ def train(texts: list[str], seed: int = 7) -> Boosted:
     pure: dict[int, list[str]] = {k: [] for k in range(len(KINDS))}
     xs, ys = [], []
     for text in [*texts, *(t for t, _ in HOLDOUT[::2])]:
-        x = shape(text)
-        k = weak_label(x)
+        k = weak_label(text)
         if k >= 0:
             pure[k].append(text)
-            xs.append(x)
+            xs.append(shape(text))
             ys.append(k)
     filled = [k for k in pure if pure[k]]
     # Mixtures of prose and something else: the larger part in characters gives the label.
-    for _ in range(800):
+    for _ in range(MIXTURES):
         a, b = (0, int(rng.choice([k for k in filled if k])))
         first, second = (pure[k][int(rng.integers(len(pure[k])))] for k in (a, b))
         cut = int(len(second) * rng.uniform(0.2, 1.0))

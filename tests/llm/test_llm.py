@@ -515,7 +515,7 @@ def test_kinds_of_documents(spark, small):
     agreed = total = 0
     for r in docs.collect():
         if r.text and r.text.strip():
-            weak = quality.weak_label(quality.shape(r.text))
+            weak = quality.weak_label(r.text)
             if weak >= 0:
                 total, agreed = total + 1, agreed + (out[r.doc_id] == quality.KINDS[weak])
         else:
