@@ -210,7 +210,7 @@ def shape(text: str) -> np.ndarray:
     total = letters_all = words_all = common_all = vowels_all = 0
     different: set[str] = set()
     for i, line in enumerate(lines):
-        words = [w.lower() for w in _WORD.findall(line)]
+        words = _WORD.findall(line.lower())
         tokens = line.split()
         size, n = len(line), len(words)
         letters = sum(map(len, words))
@@ -241,7 +241,8 @@ def shape(text: str) -> np.ndarray:
         letters_all, words_all, common_all, vowels_all = letters_all + letters, words_all + n, common_all + common, vowels_all + vowels
         different.update(words)
     tokens = clean.split()
-    solid, n = max(1, sum(map(len, tokens))), max(1, words_all)
+    lengths = list(map(len, tokens))
+    solid, n = max(1, sum(lengths)), max(1, words_all)
     escapes = sum(map(len, _ESCAPE.findall(text))) if "%" in text or "\\u" in text or "&#" in text else 0
     broken = 0 if clean.isascii() else 2 * len(_MOJIBAKE.findall(clean))
     stops = len(_STOP.findall(clean))
@@ -261,7 +262,7 @@ def shape(text: str) -> np.ndarray:
             escapes / max(1, len(text)),
             broken / solid,
             min(1.0, total / max(1, len(text))),
-            sum(len(t) == 2 for t in tokens) / max(1, len(tokens)),
+            lengths.count(2) / max(1, len(tokens)),
             stops / max(1, len(lines)),
             float(len(lines) < 4),
         ],
