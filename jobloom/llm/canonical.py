@@ -36,6 +36,8 @@ OPTIONAL_COST, ABBREVIATION_COST = 0.5, 0.4
 
 
 def fold(text: str) -> str:
+    if text.isascii():
+        return text.casefold()
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).casefold()
 
 
@@ -67,7 +69,7 @@ def weighted_distance(a: str, b: str, limit: float = 9.0) -> float:
             if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1] and a[i - 1] != b[j - 1]:
                 best = min(best, before[j - 2] + 0.7)
             new.append(best)
-        if min(new) > limit:
+        if min(new) > limit and min(row) + 0.7 > limit:  # a swap reaches back two rows
             return limit
         before, row = row, new
     return row[-1]
@@ -129,8 +131,9 @@ class Dictionary:
             reach = allowed_edits(len(token))
             for d in deletes(token, reach) if len(token) <= self.longest + reach else ():
                 for w in self.words.get(d, ()):
-                    cost = weighted_distance(token, w)
-                    if cost <= 1.35 * max(1, min(reach, allowed_edits(len(w)))):
+                    most = 1.35 * max(1, min(reach, allowed_edits(len(w))))
+                    cost = weighted_distance(token, w, most + 0.01)
+                    if cost <= most:
                         found[w] = min(found.get(w, 9.0), cost)
             for w in self.by_first.get(token[:1], ()):
                 if w not in found and abbreviates(token, w, dotted):

@@ -228,19 +228,24 @@ def _found(documents: DataFrame, item_words: list[tuple[int, list[str]]], own: s
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         item_places = {item: places_of(w) for item, (w, _) in shared.value.items()}
         item_windows = {item: _windows(w, o) for item, (w, o) in shared.value.items()}
+        # A score of LEAST takes so many pairs of neighbours that stand next to each other in the document, too.
+        item_pairs = {item: list(zip(w, w[1:], strict=False)) for item, (w, _) in shared.value.items()}
         known = {t for p in item_places.values() for t in p}
         for batch in batches:
             out = []
             for doc, w, items in zip(batch["doc_id"], batch["w"], batch["items"], strict=True):
                 w = [t if t in known else "" for t in w]
-                present = set(w)
+                present, pairs = set(w), set(zip(w, w[1:], strict=False))
                 for item in items:
                     places, (words_, o) = item_places[item], shared.value[item]
-                    score, span_ = aligned(w, places)
-                    if not (score >= LEAST and span_ >= WINDOW):
-                        by_own, by_all = _possible(words_, present, o, item_windows[item])
-                        if not (by_own and _agrees(w, places, o, by_own) or by_all and _agrees(w, places, None, by_all)):
+                    if sum(map(pairs.__contains__, item_pairs[item])) >= LEAST - 1:
+                        score, span_ = aligned(w, places)
+                        if score >= LEAST and span_ >= WINDOW:
+                            out.append((item, doc))
                             continue
+                    by_own, by_all = _possible(words_, present, o, item_windows[item])
+                    if not (by_own and _agrees(w, places, o, by_own) or by_all and _agrees(w, places, None, by_all)):
+                        continue
                     out.append((item, doc))
             yield pd.DataFrame(out, columns=["item_id", "doc_id"]).astype({"item_id": np.int64})
 
