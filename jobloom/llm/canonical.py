@@ -59,16 +59,22 @@ def weighted_distance(a: str, b: str, limit: float = 9.0) -> float:
     row = [0.0]
     for j in range(1, len(b) + 1):
         row.append(row[-1] + (1.3 if j == 1 else 0.7 if b[j - 1] == b[j - 2] else 1.0))
-    for i in range(1, len(a) + 1):
-        drop = 1.3 if i == 1 else 0.7 if a[i - 1] == a[i - 2] else 1.0
-        new = [row[0] + drop]
-        for j in range(1, len(b) + 1):
-            add = 1.3 if j == 1 else 0.7 if b[j - 1] == b[j - 2] else 1.0
-            change = 0.0 if a[i - 1] == b[j - 1] else 1.3 if i == j == 1 else 1.0
-            best = min(row[j] + drop, new[j - 1] + add, row[j - 1] + change)
-            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1] and a[i - 1] != b[j - 1]:
-                best = min(best, before[j - 2] + 0.7)
+    for i, c in enumerate(a, 1):
+        drop = 1.3 if i == 1 else 0.7 if c == a[i - 2] else 1.0
+        left = row[0] + drop
+        new = [left]
+        for j, d in enumerate(b, 1):
+            best = row[j - 1] if c == d else row[j - 1] + (1.3 if i == j == 1 else 1.0)
+            up = row[j] + drop
+            if up < best:
+                best = up
+            left += 1.3 if j == 1 else 0.7 if d == b[j - 2] else 1.0
+            if left < best:
+                best = left
+            if i > 1 and j > 1 and c != d and c == b[j - 2] and d == a[i - 2] and before[j - 2] + 0.7 < best:
+                best = before[j - 2] + 0.7
             new.append(best)
+            left = best
         if min(new) > limit and min(row) + 0.7 > limit:  # a swap reaches back two rows
             return limit
         before, row = row, new
