@@ -61,6 +61,14 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return map_values(titles, "row_id", "title", table(spark, d, "role_catalog"))
 
 
+def p7_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The titles without an entry, with their number of rows."""
+    from jobloom.llm.canonical import TITLE_FIELDS, all_titles, map_values, unmatched
+
+    titles = all_titles({t: table(spark, d, t) for t, _ in TITLE_FIELDS})
+    return unmatched(map_values(titles, "row_id", "title", table(spark, d, "role_catalog")), titles, "row_id", "title")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from jobloom.llm.encoding import encode_texts
 
@@ -93,7 +101,7 @@ def p10_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p7_found": p7_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
+    return {"p1_found": p1_found, "p1_redacted": p1_redacted, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pairs": p5_pairs, "p7_found": p7_found, "p7_unmatched": p7_unmatched, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_found": p9_found, "p10_found": p10_found, "p10_stats": p10_stats}
 
 
 def oracle_sql() -> dict[str, str]:
