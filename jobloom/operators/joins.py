@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.names import company_name, word_set
+from jobloom.plans.shared import write_cut
 
 #: Letters of the pieces by which contained names are found.
 PIECE = 5
+#: Names whose pieces a task holds at once.
+NAMES_AT_ONCE = 500
 
 
 def flag_member(df: DataFrame, listed: DataFrame, key: str, flag: str) -> DataFrame:
@@ -133,11 +137,17 @@ def _places(y: str, letters: float) -> list[str]:
 
 
 def _piece_rows(df: DataFrame, name: str, pieces: Callable[[str, float], list[str]], letters: float) -> DataFrame:
+    """``name, piece``: pieces as numbers; two that fall together only add a pair to be tested. A few names at a time, as each has many."""
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([(x, p) for x in batch[name] for p in pieces(x, letters)], columns=[name, "piece"])
+            for at in range(0, len(batch), NAMES_AT_ONCE):
+                of = [(x, pieces(x, letters)) for x in batch[name][at : at + NAMES_AT_ONCE]]
+                made = np.array([p for _, ps in of for p in ps], dtype=object)
+                names = np.repeat(np.array([x for x, _ in of], dtype=object), [len(ps) for _, ps in of])
+                yield pd.DataFrame({name: names, "piece": pd.util.hash_array(made, categorize=False).astype("int64")})
 
-    return df.mapInPandas(rows, f"{name} string, piece string")
+    return df.mapInPandas(rows, f"{name} string, piece bigint")
 
 
 def compatible_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -148,23 +158,30 @@ def compatible_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     them are shared; so one of the rarest words of either, as many as may be
     lacking and one more, is a word of the other. By letters: a name cut into one
     piece more than letters may be apart has a piece that stands unchanged in the
-    other, as far away as those letters can move it.
+    other, as far away as those letters can move it. What a name is taken apart
+    into is larger than Spark can tell from the names, so it is never broadcast.
     """
-    from jobloom.functions.similarity import LETTERS, WORDS, compatible
+    from jobloom.functions.similarity import LETTERS, WORDS, agree_by_letters, agree_by_words
 
-    a = left.select(company_name(F.col("x")).alias("x")).filter("x <> ''").distinct()
-    b = right.select(company_name(F.col("y")).alias("y")).filter("y <> ''").distinct()
-    a_words = a.select("x", F.explode(word_set(F.col("x"))).alias("word"))
-    b_words = b.select("y", F.explode(word_set(F.col("y"))).alias("word"))
+    a = write_cut(left.select(company_name(F.col("x")).alias("x")).filter("x <> ''").distinct(), "left_names")
+    b = write_cut(right.select(company_name(F.col("y")).alias("y")).filter("y <> ''").distinct(), "right_names")
+    x, y = F.col("x"), F.col("y")
+    a_words = a.select("x", F.explode(word_set(x)).alias("word"))
+    b_words = b.select("y", F.explode(word_set(y)).alias("word"))
     counts = a_words.select("word").unionAll(b_words.select("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
     def rarest(words: DataFrame, name: str) -> DataFrame:
-        ranked = words.join(counts, "word").groupBy(name).agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("r"))
+        ranked = words.join(counts.hint("merge"), "word").groupBy(name).agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("r"))
         asked = F.floor(F.size("r") * F.lit(1 - WORDS) + 1e-9).cast("int") + 1
         return ranked.select(name, F.explode(F.slice("r", F.lit(1), asked)["word"]).alias("word"))
 
-    by_word = rarest(a_words, "x").join(b_words, "word").select("x", "y").unionAll(a_words.join(rarest(b_words, "y"), "word").select("x", "y"))
-    pieces, places = _piece_rows(a, "x", _pieces, LETTERS), _piece_rows(b, "y", _places, LETTERS)
+    by_word = rarest(a_words, "x").join(b_words.hint("merge"), "word").select("x", "y").unionAll(a_words.join(rarest(b_words, "y").hint("merge"), "word").select("x", "y"))
+    # Names are small, what is made of them is not: as many tasks as a shuffle has.
+    spread = lambda df: df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pieces, places = _piece_rows(spread(a), "x", _pieces, LETTERS), _piece_rows(spread(b), "y", _places, LETTERS)
     apart = F.floor((F.length("x") + F.length("y")) * F.lit(1 - LETTERS) + 1e-9).cast("int")
-    by_letters = pieces.join(places, "piece").select("x", "y").filter(F.levenshtein("x", "y") <= apart)
-    return by_word.unionAll(by_letters).distinct().filter(compatible(F.col("x"), F.col("y")))
+    by_letters = pieces.join(places.hint("merge"), "piece").select("x", "y").filter(F.levenshtein("x", "y") <= apart)
+    # Words are compared in the JVM, letters only of the pairs they don't settle.
+    tested = spread(by_word.unionAll(by_letters).distinct()).withColumn("cheap", agree_by_words(x, y))
+    letters = agree_by_letters(F.when(~F.col("cheap"), x), F.when(~F.col("cheap"), y))
+    return tested.filter(F.col("cheap") | letters).select("x", "y")

@@ -241,6 +241,14 @@ def test_all_compatible_names_are_found(spark, small):
     assert {tuple(r)[:2] for r in core_queries()["q_compatible_names"](spark, small).filter("compatible").collect()} <= found <= want
 
 
+def test_pieces_of_names_are_never_broadcast(spark):
+    a, b = (spark.createDataFrame([(f"godefin {n} tebalen",) for n in "abcde"], f"{c} string") for c in "xy")
+    pairs = joins.compatible_pairs(a, b)
+    # Names are small enough for a broadcast, their pieces are a hundred times as large.
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count() == 25
+
+
 def test_witnesses_differ_by_their_whole_text(spark):
     long = "x" * 20_000
     rows = spark.createDataFrame([("a", long + "1", "h"), ("a", long + "2", "i"), ("b", long, "h"), ("b", long, "i")], "k string, t string, host string")
