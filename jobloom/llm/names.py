@@ -315,23 +315,31 @@ def similar_names(names: DataFrame) -> DataFrame:
     length only. A gram is indexed only for names that could not reach the
     threshold without it and the rarer ones (prefix filter, exact).
     """
-    n = names.count()
-    postings = write_cut(names.mapInPandas(_gram_rows, "name string, gram string"), "grams")
+    # Pairs are many and their names long: they are numbers until they are few.
+    numbered = write_cut(names.select("name", F.monotonically_increasing_id().alias("id")), "numbered")
+    n = numbered.count()
+    postings = write_cut(numbered.mapInPandas(_gram_rows, "id bigint, gram string"), "grams")
     df = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     weighted = postings.join(df, "gram").withColumn("w", F.log1p(F.lit(float(n)) / F.col("df")))
-    vectors = weighted.groupBy("name").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
-    vectors = write_cut(vectors.select("name", F.transform("v", lambda x: F.struct(x["df"].alias("df"), x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))).alias("v")), "vectors")
+    vectors = weighted.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("v"))
+    vectors = write_cut(vectors.select("id", F.transform("v", lambda x: F.struct(x["df"].alias("df"), x["gram"].alias("gram"), (x["w"] / F.col("norm")).alias("w"))).alias("v")), "vectors")
     # From the most frequent gram down, those whose squared weights stay below COSINE squared need not be indexed.
     rest = F.transform("v", lambda x, i: F.aggregate(F.slice("v", i + 1, F.size("v")), F.lit(0.0), lambda s, y: s + y["w"] * y["w"]))
-    prefix = vectors.select("name", F.explode(F.filter(F.arrays_zip("v", rest.alias("rest")), lambda z: (z["rest"] >= COSINE**2) & (z["v"]["df"] > 1))).alias("z"))
-    indexed = write_cut(prefix.select("name", F.col("z.v.gram").alias("gram"), F.col("z.v.w").alias("w")), "index")
-    shared = vectors.select("name", F.explode("v").alias("x")).filter("x.df > 1").select(F.col("x.gram").alias("gram"), F.col("name").alias("b"), F.col("x.w").alias("wb"))
-    dots = indexed.withColumnRenamed("name", "a").join(shared, "gram").filter("a <> b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("wb")).alias("cosine"))
+    prefix = vectors.select("id", F.explode(F.filter(F.arrays_zip("v", rest.alias("rest")), lambda z: (z["rest"] >= COSINE**2) & (z["v"]["df"] > 1))).alias("z"))
+    indexed = write_cut(prefix.select(F.col("id").alias("a"), F.col("z.v.gram").alias("gram"), F.col("z.v.w").alias("w")), "index")
+    shared = vectors.select("id", F.explode("v").alias("x")).filter("x.df > 1").select(F.col("x.gram").alias("gram"), F.col("id").alias("b"), F.col("x.w").alias("wb"))
+    dots = indexed.join(shared, "gram").filter("a <> b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("wb")).alias("cosine"))
     nearest = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
     close = dots.filter(F.col("cosine") >= COSINE).withColumn("n", F.row_number().over(nearest)).filter(f"n <= {NEAREST}").select("a", "b")
+    named = lambda df, side: df.join(numbered.select(F.col("id").alias(side), F.col("name").alias(f"name_{side}")), side)
+    close = named(named(close, "a"), "b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
     # Names are small, what is made of them is not: as many tasks as a shuffle has.
     spread = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keyed = write_cut(spread.mapInPandas(_key_rows, "name string, key bigint, asks boolean"), "keys")
+    keyed = spread.mapInPandas(_key_rows, "name string, key bigint, asks boolean")
+    # Nine of ten keys belong to one name only or are asked for by none: they are left out before the join, by one shuffle that spills as it must.
+    of_key = Window.partitionBy("key")
+    keyed = keyed.withColumns({"n": F.count(F.lit(1)).over(of_key), "asked": F.bool_or("asks").over(of_key)}).filter("n > 1 and asked")
+    keyed = write_cut(keyed.select("name", "key", "asks"), "keys")
     # Keys are numbers: two that fall together only add a pair to be tested.
     met = keyed.filter("asks").select("key", F.col("name").alias("a")).join(keyed.select("key", F.col("name").alias("b")), "key").filter("a <> b").select("a", "b")
     pairs = close.unionAll(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -340,8 +348,8 @@ def similar_names(names: DataFrame) -> DataFrame:
 
 def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(name, g) for name in batch["name"] for g in grams(name)]
-        yield pd.DataFrame(rows, columns=["name", "gram"])
+        rows = [(i, g) for i, name in zip(batch["id"], batch["name"], strict=True) for g in grams(name)]
+        yield pd.DataFrame(rows, columns=["id", "gram"])
 
 
 def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 import private_holdout
 from jobloom.llm import canonical, crf, encoding, incremental, leaks, names, openings, private, quality, queries
 
+names_write_cut = names.write_cut
+
 
 def read(spark, d, t):
     return spark.read.parquet(f"{d}/{t}.parquet")
@@ -156,6 +158,15 @@ def test_lines_of_business_are_learned(spark):
     assert names.lines_of_business(df.limit(0)).words == frozenset()
 
 
+def test_keys_without_a_partner_are_left_out_before_the_join(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(names, "write_cut", lambda df, name: written.setdefault(name, names_write_cut(df, name)))
+    rows = names.similar_names(spark.createDataFrame([("bolofol nuzurar",), ("bolofol nuzurra",), ("kidemap",)], "name string")).collect()
+    assert [tuple(r)[:2] for r in rows] == [("bolofol nuzurar", "bolofol nuzurra")]
+    kept = written["keys"].groupBy("key").count()
+    assert kept.count() > 0 and kept.filter("count < 2").count() == 0
+
+
 def test_name_join_misses_no_pair(spark, small):
     every = folded_names(spark, small)
     every |= {"kol mmoizo", "kolemon momizo", "rez zisunu", "rezogen zidunu", "gimadu nufoges", "gimaud nuofges", "momizokolemon", "kolmomizo", "zidnuu", "zid", "ab cd ef", "abc cd efg", "ab longword", "abcdef lo"}
