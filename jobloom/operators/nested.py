@@ -13,7 +13,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NODE_COLUMNS = "label string, path string, ordinal int, kind string, value string"
@@ -124,14 +124,14 @@ FLAT_FIELDS = (
 )
 
 
-def record_fields(raw: DataFrame, key: str = "row_id", payload: str = "payload") -> DataFrame:
-    """``row_id, job_id, field, pos`` of the flat fields of every posting in JSON payloads.
+def posting_fields(nodes: DataFrame, key: str) -> DataFrame:
+    """``row_id, job_id, field, pos`` of the flat fields of every posting among Dewey nodes.
 
-    A posting is an object with a scalar ``id`` that isn't null, at any depth.
-    Only the posting's own fields count. ``pos`` is the place in the array, or 0.
-    Blank values and payloads that hold no JSON give nothing.
+    A posting is an object with a scalar ``id`` that isn't null; its own fields are
+    tied to it by their labels, truncated by two or three steps. The nodes are read
+    once: id and fields of a posting meet by one shuffle on (key, truncated label).
     """
-    nodes = dewey_nodes(raw, key, payload).filter(F.col("kind") == "scalar")
+    nodes = nodes.filter(F.col("kind") == "scalar")
     tails = [f"/{outer}{mid}/{leaf}" for _, outer, leaf in FLAT_FIELDS for mid in ("", "/[]")]
     wanted = F.lit(False)
     for tail in [*tails, "/id"]:
@@ -150,31 +150,45 @@ def record_fields(raw: DataFrame, key: str = "row_id", payload: str = "payload")
         F.when(is_id, truncate(F.col("label"), 1)).when(in_array, truncate(F.col("label"), 3)).otherwise(truncate(F.col("label"), 2)).alias("posting"),
         F.when(is_id, F.lit(None)).otherwise(field).alias("field"),
         F.when(in_array, ordinal_at(F.col("label"), 2)).otherwise(F.lit(0)).cast("bigint").alias("pos"),
-        F.col("value"),
-    )
-    ids = tagged.filter(F.col("field").isNull()).select(key, "posting", F.col("value").alias("job_id"))
-    fields = tagged.filter(F.col("field").isNotNull() & nonblank(F.col("value"))).select(key, "posting", "field", "pos")
-    return fields.join(ids, [key, "posting"]).select(key, "job_id", "field", "pos")
+        F.when(is_id, F.col("value")).alias("id"),
+        (is_id | nonblank(F.col("value"))).alias("stated"),
+    ).filter("stated")
+    # An object has one id at most.
+    named = tagged.withColumn("job_id", F.max("id").over(Window.partitionBy(key, "posting")))
+    return named.filter("field is not null and job_id is not null").select(key, "job_id", "field", "pos")
 
 
-def array_field(df: DataFrame, key: str, job_id: str, array: Column, leaf: str, field: str) -> DataFrame:
-    """``row_id, job_id, field, pos`` of a typed array<struct> column; blank elements are counted, not given."""
-    exploded = df.select(F.col(key), F.col(job_id).cast("string").alias("job_id"), F.posexplode(array).alias("pos", "element"))
-    return exploded.filter(nonblank(F.col(f"element.{leaf}")) & F.col("job_id").isNotNull()).select(
-        key, "job_id", F.lit(field).alias("field"), F.col("pos").cast("bigint").alias("pos")
-    )
+def record_fields(raw: DataFrame, key: str = "row_id", payload: str = "payload") -> DataFrame:
+    """``row_id, job_id, field, pos`` of the flat fields of every posting in JSON payloads.
+
+    A posting is an object with a scalar ``id`` that isn't null, at any depth.
+    Only the posting's own fields count. ``pos`` is the place in the array, or 0.
+    Blank values and payloads that hold no JSON give nothing.
+    """
+    return posting_fields(dewey_nodes(raw, key, payload), key)
+
+
+def typed_nodes(df: DataFrame, key: str, job_id: str, outer: str, leaf: str) -> DataFrame:
+    """The Dewey nodes of a typed posting's ``id`` and of the ``leaf`` below its nested column ``outer``, as ``dewey_nodes`` has them.
+
+    The posting is the root, its id the first child, the nested column the second: a
+    struct, or an array of structs. Null elements keep their place. Stays in the JVM.
+    """
+    at = lambda label, path, value: F.struct(label.alias("label"), F.lit(path).alias("path"), F.lit(0).alias("ordinal"), F.when(value.isNull(), "null").otherwise("scalar").alias("kind"), value.alias("value"))
+    text = lambda c: c.cast("string")
+    if df.schema[outer].dataType.typeName() == "array":
+        below = F.transform(F.col(outer), lambda x, i: at(F.concat(F.lit("1."), text(i), F.lit(".0")), f"/{outer}/[]/{leaf}", text(x[leaf])))
+    else:
+        below = F.array(at(F.lit("1.0"), f"/{outer}/{leaf}", text(F.col(outer)[leaf])))
+    root = F.array(at(F.lit("0"), "/id", text(F.col(job_id))))
+    nodes = F.when(F.col(outer).isNull(), root).otherwise(F.concat(root, below))
+    return df.select(F.col(key), F.inline(nodes))
 
 
 def flat_fields(raw: DataFrame, lever: DataFrame, ashby: DataFrame, smart: DataFrame) -> DataFrame:
     """The flat fields of all four inputs; each (row, posting, field, place) once."""
-    city = smart.filter(nonblank(F.col("location.city")) & F.col("id").isNotNull()).select(
-        "row_id", F.col("id").cast("string").alias("job_id"), F.lit("location.city").alias("field"), F.lit(0).cast("bigint").alias("pos")
-    )
     # Typed columns can't repeat a (row, place); two postings of one payload can share an id.
-    return (
-        record_fields(raw)
-        .distinct()
-        .unionByName(array_field(lever, "row_id", "id", F.col("lists"), "content", "lists.content"))
-        .unionByName(array_field(ashby, "row_id", "id", F.col("secondaryLocations"), "location", "secondaryLocations.location"))
-        .unionByName(city)
-    )
+    out = record_fields(raw).distinct()
+    for df, outer, leaf in ((lever, "lists", "content"), (ashby, "secondaryLocations", "location"), (smart, "location", "city")):
+        out = out.unionByName(posting_fields(typed_nodes(df, "row_id", "id", outer, leaf), "row_id"))
+    return out

@@ -92,3 +92,21 @@ def test_empty_table_and_deep_nesting(spark):
 def test_nonblank(spark, value, expected):
     df = spark.createDataFrame([(value,)], "v string")
     assert df.select(nested.nonblank(F.col("v")).alias("b")).first().b is expected
+
+
+def test_typed_columns_have_dewey_nodes(spark):
+    df = spark.createDataFrame(
+        [(1, "a", [("x",), None, (None,), (" ",), ("y",)]), (2, None, [("z",)]), (3, "b", None), (4, "c", [])], "row_id bigint, id string, lists array<struct<content:string>>"
+    )
+    nodes = nested.typed_nodes(df, "row_id", "id", "lists", "content")
+    payloads = df.select("row_id", F.to_json(F.struct("id", "lists"), {"ignoreNullFields": "false"}).alias("payload"))
+    whole = nested.dewey_nodes(payloads, "row_id", "payload").filter("kind = 'scalar'")
+    assert sorted(map(tuple, nodes.filter("kind = 'scalar'").collect())) == sorted(map(tuple, whole.collect()))
+    assert sorted(map(tuple, nested.posting_fields(nodes, "row_id").collect())) == [(1, "a", "lists.content", 0), (1, "a", "lists.content", 4)]
+
+
+def test_payloads_are_parsed_once(spark):
+    raw = spark.createDataFrame([(1, '{"id": 7, "lists": [{"content": "x"}]}')], "row_id bigint, payload string")
+    found = nested.record_fields(raw)
+    assert [tuple(r) for r in found.collect()] == [(1, "7", "lists.content", 0)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
