@@ -29,6 +29,8 @@ HEAD = 3
 SHORT = 4
 #: Least cosine of two names' vectors, and the nearest names each keeps; pairs beyond both are found by keys.
 COSINE, NEAREST = 0.25, 20
+#: Pairs of names that meet at once, for each posting. Their number grows with the square of the input, their place on the disks follows it.
+PAIRS_A_POSTING = 8
 #: Least average similarity at which two groups of names are merged.
 LINKAGE = 0.3
 
@@ -326,24 +328,42 @@ def similar_names(names: DataFrame) -> DataFrame:
     # From the most frequent gram down, those whose squared weights stay below COSINE squared need not be indexed.
     rest = F.transform("v", lambda x, i: F.aggregate(F.slice("v", i + 1, F.size("v")), F.lit(0.0), lambda s, y: s + y["w"] * y["w"]))
     prefix = vectors.select("id", F.explode(F.filter(F.arrays_zip("v", rest.alias("rest")), lambda z: (z["rest"] >= COSINE**2) & (z["v"]["df"] > 1))).alias("z"))
+    grams_met, keys_met = Observation(), Observation()
+    prefix = prefix.observe(grams_met, F.count(F.lit(1)).alias("postings"), F.sum("z.v.df").alias("pairs"))
     indexed = write_cut(prefix.select(F.col("id").alias("a"), F.col("z.v.gram").alias("gram"), F.col("z.v.w").alias("w")), "index")
     shared = vectors.select("id", F.explode("v").alias("x")).filter("x.df > 1").select(F.col("x.gram").alias("gram"), F.col("id").alias("b"), F.col("x.w").alias("wb"))
-    dots = indexed.join(shared, "gram").filter("a <> b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("wb")).alias("cosine"))
-    nearest = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    close = dots.filter(F.col("cosine") >= COSINE).withColumn("n", F.row_number().over(nearest)).filter(f"n <= {NEAREST}").select("a", "b")
-    named = lambda df, side: df.join(numbered.select(F.col("id").alias(side), F.col("name").alias(f"name_{side}")), side)
-    close = named(named(close, "a"), "b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
     # Names are small, what is made of them is not: as many tasks as a shuffle has.
     spread = names.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keyed = spread.mapInPandas(_key_rows, "name string, key bigint, asks boolean")
     # Nine of ten keys belong to one name only or are asked for by none: they are left out before the join, by one shuffle that spills as it must.
     of_key = Window.partitionBy("key")
     keyed = keyed.withColumns({"n": F.count(F.lit(1)).over(of_key), "asked": F.bool_or("asks").over(of_key)}).filter("n > 1 and asked")
+    keyed = keyed.observe(keys_met, F.count(F.lit(1)).alias("postings"), F.sum(F.when(F.col("asks"), F.col("n"))).alias("pairs"))
     keyed = write_cut(keyed.select("name", "key", "asks"), "keys")
-    # Keys are numbers: two that fall together only add a pair to be tested.
-    met = keyed.filter("asks").select("key", F.col("name").alias("a")).join(keyed.select("key", F.col("name").alias("b")), "key").filter("a <> b").select("a", "b")
-    pairs = close.unionAll(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.mapInPandas(_tested, "a string, b string, similarity double")
+    postings, met = (sum(seen.get[c] or 0 for seen in (grams_met, keys_met)) for c in ("postings", "pairs"))
+    blocks = max(1, -(-met // int(max(1, PAIRS_A_POSTING * postings))))
+
+    def tested(block: int) -> DataFrame:
+        """The pairs whose first name belongs to the block, or asks with a key and belongs to it."""
+        of = lambda df, c: df.filter(F.pmod(F.xxhash64(c), F.lit(blocks)) == block) if blocks > 1 else df
+        dots = of(indexed, "a").join(shared, "gram").filter("a <> b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("wb")).alias("cosine"))
+        nearest = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
+        close = dots.filter(F.col("cosine") >= COSINE).withColumn("n", F.row_number().over(nearest)).filter(f"n <= {NEAREST}").select("a", "b")
+        named = lambda df, side: df.join(numbered.select(F.col("id").alias(side), F.col("name").alias(f"name_{side}")), side)
+        close = named(named(close, "a"), "b").select(F.col("name_a").alias("a"), F.col("name_b").alias("b"))
+        # Keys are numbers: two that fall together only add a pair to be tested.
+        asking = of(keyed.filter("asks"), "name").select("key", F.col("name").alias("a"))
+        met = asking.join(keyed.select("key", F.col("name").alias("b")), "key").filter("a <> b").select("a", "b")
+        pairs = close.unionAll(met).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return pairs.mapInPandas(_tested, "a string, b string, similarity double")
+
+    if blocks == 1:
+        return tested(0)
+    # One block after the other: what was shuffled for one is gone before the next.
+    every = write_cut(tested(0), "tested")
+    for block in range(1, blocks):
+        every = every.unionAll(write_cut(tested(block), "tested"))
+    return every.distinct()
 
 
 def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

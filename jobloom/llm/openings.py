@@ -135,6 +135,8 @@ GRAM = 2
 HEADS = (3, 4)  # with the mark of the beginning
 #: A match scores at least this share of what a record scores against itself.
 LEAST = 0.45
+#: What rounding can add to a score.
+ROUNDED = 1e-6
 #: Pairs of either kind the calibration is learned from, at most.
 CALIBRATION = 1_000
 
@@ -162,6 +164,13 @@ def terms(org: Column, role: Column, city: Column) -> Column:
     return F.lit(3) + placed + 2 * F.size(org_words(org)) + F.size(place_grams(city)) + F.size(title_words(role))
 
 
+def rare_words(words: Column, need: Column) -> Column:
+    """The words of ``words`` (with their weight ``w``) but for the lightest, whose weights together stay below ``need``."""
+    light = F.array_sort(F.transform(words, lambda x: F.struct(x["w"].alias("w"), x["word"].alias("word"))))
+    upto = lambda i: F.aggregate(F.slice(light, 1, i + 1), F.lit(0.0), lambda s, x: s + x["w"])
+    return F.transform(F.filter(light, lambda x, i: upto(i) >= need), lambda x: x["word"])
+
+
 @dataclass
 class Index:
     """An inverted index of records ``org, role, city`` with BM25 weights."""
@@ -196,53 +205,87 @@ class Index:
         rarity = lambda name: self._rarity(F.col("df")).alias(name)
         words = queries.select("org").distinct().select("org", F.explode(org_words(F.col("org"))).alias("word"))
         in_words = self.records.select(F.explode(org_words(F.col("org"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-        named = words.join(in_words, "word", "left").groupBy("org").agg(F.collect_list(F.struct("word", rarity("w"))).alias("w_n"))
-        out = queries.join(named, "org", "left")
-        for name, keys in (("w_o", ["org"]), ("w_r", ["role"]), ("w_c", ["city"]), ("w_or", ["org", "role"]), ("w_oc", ["org", "city"])):
-            out = out.join(count(*keys), keys, "left").withColumn(name, rarity(name)).drop("df")
+        named = words.join(in_words, "word", "left").groupBy("org").agg(F.collect_list(F.struct("word", rarity("w"), F.col("df").isNotNull().alias("known"))).alias("w_n"))
+        out = queries
+        for name, keys in (("r", ["role"]), ("c", ["city"]), ("oc", ["org", "city"]), ("or", ["org", "role"]), ("o", ["org"])):
+            out = out.join(count(*keys), keys, "left").withColumns({f"w_{name}": rarity(f"w_{name}"), f"has_{name}": F.col("df").isNotNull()}).drop("df")
+        out = out.join(named, "org", "left")  # the widest comes last
         placed = F.col("city") != "*"
-        sum_n = F.aggregate("w_n", F.lit(0.0), lambda s, x: s + x["w"])
+        sum_of = lambda ws: F.aggregate(ws, F.lit(0.0), lambda s, x: s + x["w"])
+        sum_n, n_grams, n_title = sum_of(F.col("w_n")), F.size(place_grams(F.col("city"))), F.size(title_words(F.col("role")))
         out = out.withColumns({"w_c": F.when(placed, F.col("w_c")).otherwise(0.0), "w_oc": F.when(placed, F.col("w_oc")).otherwise(0.0)})
-        together = F.col("w_or") * (F.size(place_grams(F.col("city"))) + F.size("w_n") + 1) + F.col("w_oc") * (F.size(title_words(F.col("role"))) + 1)
+        together = F.col("w_or") * (n_grams + F.size("w_n") + 1) + F.col("w_oc") * (n_title + 1)
         whole = (F.col("w_o") + sum_n + F.col("w_r") + F.col("w_c") + together) * self._share(terms(F.col("org"), F.col("role"), F.col("city")))
         out = out.withColumn("whole", whole).withColumn("q", F.concat_ws("\t", "org", "role", "city"))
-        # What records of a list can reach at most, if the attributes it doesn't stand for differ.
-        top = self._share(F.lit(self.shortest)) / (F.col("whole") * LEAST)
-        of_place = F.col("w_o") + sum_n + F.col("w_c") + F.col("w_oc") * (F.size(title_words(F.col("role"))) + 1)
-        of_word = F.greatest(F.col("w_o") + sum_n, sum_n + F.col("w_r"), sum_n + F.col("w_c"))
-        return out.withColumns({"by_place": of_place * top >= 1, "by_words": (sum_n + F.col("w_r") + F.col("w_c")) * top >= 1, "by_word": of_word * top >= 1})
-
-    def candidates(self, queries: DataFrame) -> DataFrame:
-        """``q, d``: every record that can score LEAST of a query's whole.
+        # What records of a list can reach at most, if the attributes it doesn't stand for differ: by terms that stand in the index at all, in the shortest record that has them.
+        has = lambda name: F.when(F.col(f"has_{name}"), F.col(f"w_{name}")).otherwise(0.0)
+        need = lambda length: F.col("whole") * (LEAST - ROUNDED) / self._share(F.greatest(F.lit(self.shortest), length))
+        known = F.filter("w_n", lambda x: x["known"])
+        n_org = 3 + 2 * F.size("w_n")
+        there, either = sum_of(known), F.greatest(has("r"), has("c"))
+        lists = {
+            "by_both": F.col("has_or"),
+            "by_place": F.col("has_oc") & placed & (has("o") + there + has("c") + has("oc") * (n_title + 1) >= need(n_org + 2 + n_grams)),
+            "by_org": F.col("has_o") & (has("o") + there >= need(n_org)),
+            "by_words": placed & F.col("has_r") & F.col("has_c") & (there + has("r") + has("c") >= need(F.lit(5) + n_grams + n_title)),
+            "by_pair": placed & F.col("has_r") & F.col("has_c") & (has("r") + has("c") >= need(F.lit(5) + n_grams + n_title)),
+            # Of the words in order of their weight, the light ones that can't make up what is needed aren't asked for: whoever reaches it has another one.
+            "rare": F.when(there + either >= need(F.lit(0)), rare_words(known, need(F.lit(0)) - either)).otherwise(F.array().cast("array<string>")),
+        }
+        return out.withColumns(lists).drop("has_r", "has_c", "has_oc", "has_or", "has_o")
+
+    def _met(self, queries: DataFrame) -> DataFrame:
+        """Every query, as it is weighted, with ``d_org, d_role, d_city`` of each record that can score LEAST of its whole, once.
 
         A list is read only where its records can reach LEAST: what they can share
         with the query, if the attributes the list doesn't stand for differ, is bounded
         by the weights of those terms in the shortest record. Mostly that leaves the
-        list of organisation and role, which is short.
+        list of organisation and role, which is short. What a list has is left out of
+        the others, so no pair has to be told from itself.
         """
-        bounded = queries.select("q", "org", "role", "city", "by_place", "by_words", "by_word")
-        asked = bounded.agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in ("by_place", "by_words", "by_word")]).first()
-        d = self.records.withColumn("d", F.concat_ws("\t", "org", "role", "city"))
-        split = lambda df, *keys: df.withColumn("word", F.explode(org_words(F.col("org")))).select("word", *keys)
-        placed = bounded.filter("city <> '*'")
-        met = [bounded.select("org", "role", "q").join(d.select("org", "role", "d"), ["org", "role"])]
+        flags = ("by_place", "by_org", "by_words", "by_pair")
+        asked = queries.agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(c) for c in flags], F.coalesce(F.bool_or(F.size("rare") > 0), F.lit(False)).alias("rare")).first()
+        queries = queries.drop("q")  # longer than all else, and made of it
+        d = self.records.select(*[F.col(c).alias(f"d_{c}") for c in ("org", "role", "city")])
+        reads = lambda flag, df=queries: df.filter(flag).drop("by_both", *flags)
+        same = lambda c: F.col(c) == F.col(f"d_{c}")
+        worded = lambda: d.withColumn("d_word", F.explode(org_words(F.col("d_org"))))
+        both = same("role") & same("city") & (F.col("city") != "*")
+        first = lambda words: F.element_at(F.array_intersect(words, org_words(F.col("d_org"))), 1)
+        met = [reads("by_both").join(d, same("org") & same("role"))]
         # Lists nobody reads aren't made.
         if asked["by_place"]:
-            met.append(placed.filter("by_place").select("org", "city", "q").join(d.select("org", "city", "d"), ["org", "city"]))
+            met.append(reads("by_place").join(d, same("org") & same("city")).filter(~same("role")))
+        if asked["by_org"]:
+            met.append(reads("by_org").join(d, same("org")).filter(~same("role") & (~same("city") | (F.col("city") == "*"))))
         if asked["by_words"]:
-            met.append(split(placed.filter("by_words"), "role", "city", "q").join(split(d, "role", "city", "d"), ["word", "role", "city"]))
-            met.append(placed.filter("by_words").select("role", "city", "q").join(d.select("role", "city", "d"), ["role", "city"]))
-        if asked["by_word"]:
-            met.append(split(bounded.filter("by_word"), "q").join(split(d, "d"), "word"))
-        every = met[0].select("q", "d")
-        for more in met[1:]:
-            every = every.unionAll(more.select("q", "d"))
-        return every.distinct()
+            words = org_words(F.col("org"))
+            met.append(reads("by_words").withColumn("word", F.explode(words)).join(worded(), same("word") & same("role") & same("city")).filter(~same("org") & (first(words) == F.col("word"))))
+        if asked["by_pair"]:
+            met.append(reads("by_pair").join(d, same("role") & same("city")).filter(~same("org") & ~F.arrays_overlap(org_words(F.col("org")), org_words(F.col("d_org")))))
+        if asked["rare"]:
+            met.append(reads("size(rare) > 0").withColumn("word", F.explode("rare")).join(worded(), same("word")).filter(~same("org") & ~both & (first(F.col("rare")) == F.col("word"))))
+        every = None
+        for more in met:
+            more = more.drop("rare", "word", "d_word")
+            every = more if every is None else every.unionByName(more)
+        return every
+
+    def candidates(self, queries: DataFrame) -> DataFrame:
+        """``q, d``: every record that can score LEAST of a query's whole."""
+        return self._met(queries).select(F.concat_ws("\t", "org", "role", "city").alias("q"), F.concat_ws("\t", "d_org", "d_role", "d_city").alias("d"))
+
+    def found(self, queries: DataFrame) -> DataFrame:
+        """``q, d, score`` of all candidates, those of LEAST or more: scored where they meet, so that pairs are never shuffled."""
+        return self._scores(self._met(queries))
 
     def scored(self, pairs: DataFrame, queries: DataFrame) -> DataFrame:
         """``q, d, score`` of pairs: BM25 as a share of what the query scores against itself; those of LEAST or more."""
-        met = pairs.join(queries, "q").withColumn("x", F.split("d", "\t"))
-        org, role, city = (F.col("x")[i] for i in range(3))
+        x = F.split("d", "\t")
+        return self._scores(pairs.join(queries, "q").withColumns({f"d_{c}": x[i] for i, c in enumerate(("org", "role", "city"))}))
+
+    def _scores(self, met: DataFrame) -> DataFrame:
+        org, role, city = (F.col(f"d_{c}") for c in ("org", "role", "city"))
         same_o, same_r, same_c = org == F.col("org"), role == F.col("role"), (city == F.col("city")) & (city != "*")
         when = lambda c, w: F.when(c, w).otherwise(0.0)
         common = lambda f, a, b: F.size(F.array_intersect(f(a), f(b)))
@@ -256,7 +299,7 @@ class Index:
             + when(same_o & same_c, F.col("w_oc") * (common(title_words, F.col("role"), role) + 1))
         )
         score = F.round(shared * self._share(terms(org, role, city)) / F.col("whole"), 6)
-        return met.select("q", "d", score.alias("score")).filter(F.col("score") >= LEAST)
+        return met.select(F.concat_ws("\t", "org", "role", "city").alias("q"), F.concat_ws("\t", org, role, city).alias("d"), score.alias("score")).filter(F.col("score") >= LEAST)
 
 
 def nearest(scored: DataFrame) -> DataFrame:
@@ -315,7 +358,7 @@ def matched_records(records: DataFrame) -> DataFrame:
     a, b = (distinct.filter(F.col("side") == s).select("org", "role", "city") for s in ("a", "b"))
     index = Index.of(write_cut(b, "index"))
     queries = write_cut(index.weighted(a), "queries")
-    scored = write_cut(index.scored(index.candidates(queries), queries), "scored")
+    scored = write_cut(index.found(queries), "scored")
     best = write_cut(nearest(scored), "best")
     top = scored.groupBy("d").agg(F.max("score").alias("top"))
     mutual = best.join(top, "d").filter("score >= top").select("q", "d", "score", "lead")

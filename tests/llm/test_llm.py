@@ -176,6 +176,28 @@ def test_name_join_misses_no_pair(spark, small):
     assert names.same_organisation([(spark.createDataFrame([], "c string"), "c")]).count() == 0
 
 
+def test_pairs_met_in_blocks_are_the_same(spark, small, monkeypatch):
+    """What is on the disks at once is bounded by the postings: more pairs come in more blocks, with the same result."""
+    every = spark.createDataFrame([(n,) for n in sorted(folded_names(spark, small))], "name string").cache()
+    whole = {tuple(r) for r in names.similar_names(every).collect()}
+    blocks = []
+    monkeypatch.setattr(names, "PAIRS_A_POSTING", 0.3, raising=False)
+    monkeypatch.setattr(names, "write_cut", lambda df, name: blocks.append(name) or names_write_cut(df, name))
+    again = [tuple(r) for r in names.similar_names(every).collect()]
+    assert len(again) == len(set(again)) and set(again) == whole and whole
+    assert blocks.count("tested") > 1
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    before = files()
+    counted = names_write_cut(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "counted")
+    until = time.monotonic() + 10
+    while (left := files()) > before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert left <= before and counted.count() == 7
+
+
 def test_the_nearest_by_cosine_equal_brute_force(spark, small, monkeypatch):
     every = sorted(folded_names(spark, small))[:150]
     monkeypatch.setattr(names, "_key_rows", lambda batches: (b.assign(key=0, asks=False)[["name", "key", "asks"]].iloc[:0] for b in batches))
@@ -339,6 +361,37 @@ def test_retrieval_equals_all_pairs(spark, small):
         assert (r.d, r.score) == (top[0][1], -top[0][0]) and abs(r.lead - (-top[0][0] - (-top[1][0] if len(top) > 1 else 0.0))) < 1e-9
 
 
+def test_a_shared_line_of_business_makes_no_candidates(spark):
+    """Such a word stands in a fixed share of the records: lists of it, asked by as many, would grow with the square of the table."""
+    rows = [(f"{x}{i:03d} {y}{i:03d}|energy", f"r:{i % 20}", "*") for i in range(150) for x, y in (("bo", "ka"), ("ma", "ti"))]
+    a, b = (spark.createDataFrame(rows[i::3] + rows[1::3], "org string, role string, city string") for i in (0, 2))
+    index = openings.Index.of(b)
+    asked = index.weighted(a).cache()
+    pairs = index.candidates(asked)
+    every = asked.select("q").crossJoin(b.select(F.concat_ws("\t", "org", "role", "city").alias("d")))
+    want = {tuple(r) for r in index.scored(every, asked).collect()}
+    assert want and want == {tuple(r) for r in index.found(asked).collect()}
+    assert pairs.count() == pairs.distinct().count() < 2 * len(rows)
+
+
+def test_every_list_equals_all_pairs(spark, monkeypatch):
+    """A low least score, at which records are found by each list alone."""
+    monkeypatch.setattr(openings, "LEAST", 0.12)
+    rng = random.Random(5)
+    record = lambda: (f"{rng.choice(['ba', 'bo', 'ka', 'ko'])} {rng.choice('xyzuvw')}{rng.choice(['', '|energy', '|foods'])}", rng.choice(["r:1", "r:2", "w:blower glass", "w:clerk glass"]), rng.choice(["*", "reno", "boston", "bostn"]))
+    a, b = (spark.createDataFrame(sorted({record() for _ in range(120)}), "org string, role string, city string") for _ in range(2))
+    index = openings.Index.of(b)
+    asked = index.weighted(a).cache()
+    assert all(asked.filter(c).count() for c in ("by_both", "by_place", "by_org", "by_words", "size(rare) > 0"))
+    every = asked.select("q").crossJoin(b.select(F.concat_ws("\t", "org", "role", "city").alias("d")))
+    met = index.candidates(asked)
+    want, got = ({tuple(r) for r in index.scored(x, asked).collect()} for x in (every, met))
+    missed = {(q, d) for q, d, _ in want - got}
+    assert met.count() == met.distinct().count()
+    # Records that share a role or a place alone stand in no list.
+    assert all(not set(re.split("[ |]", q.split("\t")[0])) & set(re.split("[ |]", d.split("\t")[0])) for q, d in missed) and got <= want
+
+
 def test_a_noisy_pair_is_found_by_its_score(spark, small):
     """One slip in a place that is rare on both sides: the attributes differ, a join on them finds nothing."""
     more = [("a", 1, "Tax Accountant", "Belorun Katsimi", "Wolfenbuettel, NI"), ("b", 2, "Tax Accountant (m/f)", "Belorun Katsimi Inc.", "Wolfenbuetel"), ("a", 3, "Copywriter", "Belorun Katsimi", "Wolfenbuettel"), ("b", 4, "Copywriter", "Belorun Katsimi", "Garmisch")]
